@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +49,19 @@ def chunks(texts: list[str], limit: int = CHUNK_CHARS):
         held += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cuts the lineage by a Parquet table in the shared folder.
+
+    Unlike a checkpoint it is compressed and forgets the partitioning, so that a later join deals both
+    of its sides anew and adaptive execution can split a hot key.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/kinweave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def semi_by_id(df: DataFrame, ids: DataFrame, n: int, on: str, how: str = "left_semi", limit: int = 2_000_000) -> DataFrame:
+    """Rows of df with (or, left_anti, without) an id of ids; n is the counted size of ids, and only a checked size is broadcast."""
+    return df.join(F.broadcast(ids) if n <= limit else ids, on, how)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import sentencepiece_bpe
+from kinweave.llm import near_dedup, sentencepiece_bpe
 from kinweave.llm.common import read
 
 #: Folder of the public tokenizers' files.
@@ -31,9 +31,14 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sentencepiece": op2_sentencepiece,
+        "op9_superminhash": op9_superminhash,
     }
 
 
