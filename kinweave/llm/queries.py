@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import near_dedup, sentencepiece_bpe
+from kinweave.llm import near_dedup, oracles, sentencepiece_bpe
 from kinweave.llm.common import read
 
 #: Folder of the public tokenizers' files.
@@ -43,4 +43,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_superminhash": oracles.NEAR_DEDUP}
