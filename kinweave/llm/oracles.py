@@ -23,3 +23,36 @@ reach(node, label) AS (
 SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, m.label AS component_id, d.doc_id = m.label AS kept
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT node, min(label) AS label FROM reach GROUP BY node) m ON m.node = d.doc_id
 """
+
+SECRETS = r"""
+WITH cleaned AS (SELECT row_number() OVER () AS r, doc_id, source, translate(coalesce(text, ''), chr(57344) || chr(57345), chr(65533) || chr(65533)) AS t FROM documents),
+marked AS (
+  SELECT r, doc_id, source, 0 AS k, regexp_replace(t, '((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)', chr(57344) || '\1' || chr(57345) || '\2' || chr(57344), 'g') AS m FROM cleaned
+  UNION ALL SELECT r, doc_id, source, 1, regexp_replace(t, '(AKIA)([A-Z0-9]{16,})', chr(57344) || '\1' || chr(57345) || '\2' || chr(57344), 'g') FROM cleaned
+  UNION ALL SELECT r, doc_id, source, 2, regexp_replace(t, '()([0-9a-f]{24,})', chr(57344) || '\1' || chr(57345) || '\2' || chr(57344), 'g') FROM cleaned
+  UNION ALL SELECT r, doc_id, source, 3, regexp_replace(t, '()([A-Za-z0-9+/_=-]{24,})', chr(57344) || '\1' || chr(57345) || '\2' || chr(57344), 'g') FROM cleaned
+), pieces AS (
+  SELECT r, doc_id, source, k, string_split(m, chr(57344)) AS p FROM marked WHERE contains(m, chr(57344))
+), numbered AS (
+  SELECT r, doc_id, source, k, i, p[i] AS v, length(p[i]) - (CASE WHEN i % 2 = 0 THEN 1 ELSE 0 END) AS n
+  FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM pieces)
+), placed AS (
+  SELECT *, sum(n) OVER (PARTITION BY r, k ORDER BY i) AS e, string_split(v, chr(57345)) AS g FROM numbered
+), valued AS (
+  SELECT r, doc_id, source, k, (e - n)::BIGINT AS s, e::BIGINT AS e, CASE WHEN k = 0 THEN g[2] ELSE g[1] || g[2] END AS v FROM placed
+  WHERE i % 2 = 0 AND (k <> 0 OR length(g[2]) >= 6)
+    AND (k <> 3 OR (regexp_matches(g[2], '[0-9]') AND regexp_matches(g[2], '[A-Z]') AND regexp_matches(g[2], '[a-z]')))
+), counts AS (SELECT v, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repositories FROM valued GROUP BY v),
+judged AS (
+  SELECT x.*, c.owners >= 5 AND c.repositories >= 5 AS example FROM valued x JOIN counts c USING (v)
+), kept AS (
+  SELECT j.* FROM judged j
+  WHERE k <> 3 OR (NOT example AND NOT EXISTS (SELECT 1 FROM judged b WHERE b.r = j.r AND b.k <> 3 AND b.s < j.e AND j.s < b.e))
+), named AS (SELECT *, (['assign', 'access', 'hex', 'generic'])[k + 1] || ':' || s || ':' || e AS span FROM kept)
+SELECT c.doc_id,
+  count(n.k) FILTER (n.k = 0) AS n_assign, count(n.k) FILTER (n.k = 1) AS n_access, count(n.k) FILTER (n.k = 2) AS n_hex,
+  sha256(coalesce(string_agg(n.span, ',' ORDER BY n.s, n.k) FILTER (n.k <> 3), '')) AS base_sha256,
+  coalesce(string_agg(n.span, ',' ORDER BY n.s, n.k), '') AS spans,
+  count(n.k) FILTER (NOT n.example) AS n_live, count(n.k) FILTER (n.example) AS n_example
+FROM cleaned c LEFT JOIN named n ON n.r = c.r GROUP BY c.r, c.doc_id
+"""

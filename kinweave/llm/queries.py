@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import near_dedup, oracles, sentencepiece_bpe
+from kinweave.llm import near_dedup, oracles, secrets, sentencepiece_bpe
 from kinweave.llm.common import read
 
 #: Folder of the public tokenizers' files.
@@ -19,6 +19,10 @@ def sentencepiece_model() -> str:
     return f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = sentencepiece_bpe.Vocabulary.load(sentencepiece_model())
     out = sentencepiece_bpe.encode_decode(read(spark, sf_dir, "documents"), vocabulary)
@@ -37,10 +41,14 @@ def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secrets": op1_secrets,
         "op2_sentencepiece": op2_sentencepiece,
         "op9_superminhash": op9_superminhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_superminhash": oracles.NEAR_DEDUP}
+    return {
+        "op1_secrets": oracles.SECRETS,
+        "op9_superminhash": oracles.NEAR_DEDUP,
+    }
