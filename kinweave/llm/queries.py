@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import near_dedup, oracles, secrets, sentencepiece_bpe
+from kinweave.llm import decontaminate, near_dedup, oracles, secrets, sentencepiece_bpe
 from kinweave.llm.common import read
 
 #: Folder of the public tokenizers' files.
@@ -39,11 +39,16 @@ def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(read(spark, sf_dir, "documents"))
 
 
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
         "op2_sentencepiece": op2_sentencepiece,
         "op9_superminhash": op9_superminhash,
+        "op10_spaced_seeds": op10_spaced_seeds,
     }
 
 
@@ -51,4 +56,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_secrets": oracles.SECRETS,
         "op9_superminhash": oracles.NEAR_DEDUP,
+        "op10_spaced_seeds": oracles.SPACED_SEEDS,
     }
