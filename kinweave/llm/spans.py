@@ -14,16 +14,20 @@ from pyspark.sql import functions as F
 MARK, INNER, STAND_IN = "", "", "�"
 
 
+#: Characters of context that are kept on either side of a match.
+BEFORE, AFTER = 24, 8
+
+
 def part_of(number: int):
     def part(p: Column, i: Column) -> Column:
         odd = i % 2 == 1
-        return F.struct(F.lit(number).alias("kind"), i.cast("int").alias("i"), (F.length(p) - odd.cast("int")).alias("size"), F.when(odd, p).alias("value"))
+        return F.struct(F.lit(number).alias("kind"), i.cast("int").alias("i"), (F.length(p) - odd.cast("int")).alias("size"), F.when(odd, p).otherwise(F.concat(F.substring(p, 1, AFTER), F.lit(INNER), F.right(p, F.lit(BEFORE)))).alias("value"))
 
     return part
 
 
 def parts(text: Column, kinds: dict[str, str]) -> Column:
-    """array<struct<kind, i, size, value>>: the parts of the text for each kind that occurs; those with odd i are matches.
+    """array<struct<kind, i, size, value>>: the parts of the text for each kind that occurs; those with odd i are matches, of the others value has the first and last characters.
 
     Each pattern has two capturing groups that together are the match; in value they are divided by INNER.
     """
@@ -38,15 +42,17 @@ def parts(text: Column, kinds: dict[str, str]) -> Column:
 
 
 def matches(rows: DataFrame, keep: list[str], column: str = "parts") -> DataFrame:
-    """keep, kind (number), start, end, head and tail (the two groups) of every match; rows have a unique ``row``."""
+    """keep, kind (number), start, end, head and tail (the two groups), before and after (context) of every match; rows have a unique ``row``."""
     at = Window.partitionBy("row", "kind").orderBy("i")
     return (
         rows.select("row", *keep, F.inline(column))
         .withColumn("end", F.sum("size").over(at))
+        .withColumn("before", F.split(F.lag("value").over(at), INNER, 2)[1])
+        .withColumn("after", F.split(F.lead("value").over(at), INNER, 2)[0])
         .where("i % 2 = 1")
         .withColumn("start", F.col("end") - F.col("size"))
         .withColumn("both", F.split("value", INNER, 2))
-        .select("row", *keep, "kind", "start", "end", F.col("both")[0].alias("head"), F.col("both")[1].alias("tail"))
+        .select("row", *keep, "kind", "start", "end", F.col("both")[0].alias("head"), F.col("both")[1].alias("tail"), "before", "after")
     )
 
 
