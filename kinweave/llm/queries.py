@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, near_dedup, oracles, pii, secrets, sentencepiece_bpe
+from kinweave.llm import decontaminate, fingerprint, near_dedup, oracles, pii, secrets, sentencepiece_bpe
 from kinweave.llm.common import read
 
 #: Folder of the public tokenizers' files.
@@ -35,6 +35,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(read(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
         "op2_sentencepiece": op2_sentencepiece,
+        "op4_weighted_sampling": op4_weighted_sampling,
         "op6_pii": op6_pii,
         "op9_superminhash": op9_superminhash,
         "op10_spaced_seeds": op10_spaced_seeds,
