@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, fingerprint, near_dedup, oracles, pii, secrets, sentencepiece_bpe
-from kinweave.llm.common import read
+from kinweave.llm import decontaminate, fingerprint, language_id, near_dedup, oracles, pii, secrets, sentencepiece_bpe
+from kinweave.llm.common import held_out, read
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("KINWEAVE_TOKENIZERS", "/opt/tokenizers")
@@ -43,6 +43,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    out = language_id.predict(documents, language_id.train(documents))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(read(spark, sf_dir, "documents"))
 
@@ -57,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_sentencepiece": op2_sentencepiece,
         "op4_weighted_sampling": op4_weighted_sampling,
         "op6_pii": op6_pii,
+        "op8_language": op8_language,
         "op9_superminhash": op9_superminhash,
         "op10_spaced_seeds": op10_spaced_seeds,
     }
