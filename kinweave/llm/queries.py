@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, fingerprint, language_id, near_dedup, oracles, pii, secrets, sentencepiece_bpe
+from kinweave.llm import decontaminate, fingerprint, language_id, near_dedup, oracles, pii, quality, secrets, sentencepiece_bpe
 from kinweave.llm.common import held_out, read
 
 #: Folder of the public tokenizers' files.
@@ -39,6 +39,12 @@ def op4_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(read(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    out = quality.score(documents, quality.train(documents, read(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secrets": op1_secrets,
         "op2_sentencepiece": op2_sentencepiece,
         "op4_weighted_sampling": op4_weighted_sampling,
+        "op5_quality": op5_quality,
         "op6_pii": op6_pii,
         "op8_language": op8_language,
         "op9_superminhash": op9_superminhash,
