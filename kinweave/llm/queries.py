@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, fingerprint, language_id, near_dedup, oracles, pii, quality, secrets, sentencepiece_bpe
+from kinweave.llm import decontaminate, fingerprint, language_id, licenses, near_dedup, oracles, pii, quality, secrets, sentencepiece_bpe, warc
 from kinweave.llm.common import held_out, read
 
 #: Folder of the public tokenizers' files.
@@ -35,6 +35,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(read(spark, sf_dir, "documents"))
+
+
 def op4_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(read(spark, sf_dir, "documents"))
 
@@ -49,6 +53,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(read(spark, sf_dir, "pages"))).withColumnRenamed("key", "page_id")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     out = language_id.predict(documents, language_id.train(documents))
@@ -67,9 +75,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
         "op2_sentencepiece": op2_sentencepiece,
+        "op3_licenses": op3_licenses,
         "op4_weighted_sampling": op4_weighted_sampling,
         "op5_quality": op5_quality,
         "op6_pii": op6_pii,
+        "op7_warc": op7_warc,
         "op8_language": op8_language,
         "op9_superminhash": op9_superminhash,
         "op10_spaced_seeds": op10_spaced_seeds,
