@@ -6,9 +6,12 @@ j, a value in [j, j+1) for its j-th place; a document stops at the first level a
 filled. Bands of the signature propose candidates, full sets confirm them, union-find groups them.
 
 Equal sets are one class from the start, so that copies cost a sum, not pairs. Inside a bucket of a
-band, classes are first held against one pivot, the class that shares most buckets; then against
-a second; what is still in different components is held against each other. A bucket of near
-copies thus costs its size, and only buckets that really hold several components cost pairs. Nothing is capped.
+band, every class is held against one pivot p, the class that shares most buckets. For classes x and y
+of the bucket that are then in different components, |x & y| is at most min(|x & p|, |y & p|) plus
+the items that x and y share outside p. So a link needs either enough of p in both, or a shared item among the
+first few, by hash, of what x and y have outside p (the prefix filter for that part). Only pairs
+that pass one of these tests are held against each other, on full sets. A bucket of near copies,
+or of texts with a common passage, thus costs about its size, and no partner is capped.
 
 Defined results: null or blank texts have an empty set, link with nothing and are kept; rows with
 a null id link with nothing and have a null component; repeated rows with one id are one document.
@@ -154,12 +157,44 @@ def fits(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar enough."""
+def together(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (u, v, ...) with the full sets a of u and b of v."""
     a = sets.select(F.col("id").alias("u"), F.col("items").alias("a"))
     b = sets.select(F.col("id").alias("v"), F.col("items").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    return pairs.select("u", "v").join(a, "u").join(b, "v").where(100 * both >= percent * (F.size("a") + F.size("b") - both)).select("u", "v")
+    return pairs.join(a, "u").join(b, "v")
+
+
+def similar(both: Column, n: Column, m: Column, percent: int) -> Column:
+    return 100 * both >= percent * (n + m - both)
+
+
+def against_pivots(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs (u, v, least_n) with n, common (with the pivot v), linked, and the prefix of what u has outside v."""
+    n, common = F.size("a"), F.size(F.array_intersect("a", "b"))
+    least = F.greatest(F.col("least_n"), F.ceil(n * percent / 100))
+    needed = F.ceil(percent * (n + least) / (100 + percent))  # items that a partner of u shares with it, at least
+    beyond = F.sort_array(F.array_except("a", "b"))
+    prefix = F.slice(beyond, 1, F.greatest(n - needed + 1, F.lit(0)).cast("int"))
+    return together(pairs, sets).select("u", "v", n.alias("n"), common.alias("common"), similar(common, n, F.size("b"), percent).alias("linked"), prefix.alias("prefix"))
+
+
+def remaining(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) of classes under one pivot that are in different components and may still be linked."""
+    name = labels.select(F.col("node").alias("u"), F.col("component").alias("label"))
+    top = labels.select(F.col("node").alias("v"), F.col("component").alias("top"))
+    held = held.join(name, "u", "left").join(top, "v", "left").withColumn("label", F.coalesce("label", "u")).withColumn("loose", F.col("label") != F.coalesce("top", "v"))
+    held = stored(held.select("u", "v", "n", "common", "prefix", "label", "loose"))
+    open_ = stored(held.where("loose").select("v").distinct())
+    held = stored(held.join(open_, "v"))
+    columns = lambda df, i: df.select("v", *[x for x in ("item",) if x in df.columns], *[F.col(c).alias(f"{c}{i}") for c in ("u", "n", "common", "label")])
+    apart = (F.col("label1") != F.col("label2")) & fits(F.col("n1"), F.col("n2"), percent)
+    items = held.withColumn("item", F.explode("prefix"))
+    shared = columns(items.where("loose"), 1).join(columns(items, 2), ["v", "item"]).where(apart)
+    covered = held.where(100 * F.col("common") >= percent * F.col("n"))
+    enough = (100 + percent) * F.least("common1", "common2") >= percent * (F.col("n1") + F.col("n2"))
+    inside = columns(covered.where("loose"), 1).join(columns(covered, 2), "v").where(apart & enough)
+    pairs = shared.select("u1", "u2").unionByName(inside.select("u1", "u2"))
+    return stored(pairs.select(F.greatest("u1", "u2").alias("u"), F.least("u1", "u2").alias("v")).distinct())
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -172,30 +207,17 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     members = stored(slots.join(buckets, "bucket"))
     weight = stored(members.groupBy("rep").agg(F.sum("size").alias("weight")))
     members = stored(members.join(weight, "rep").select("bucket", "rep", "n", "weight"))
-    sets = None
-    edges, labels = None, None
-    for turn in ("weight", "other"):
-        best = F.struct("weight", -F.col("rep"), "n") if turn == "weight" else F.struct(F.xxhash64("rep"), -F.col("rep"), "n")
-        open_ = members if labels is None else unresolved(members, labels)
-        pivots = stored(open_.groupBy("bucket").agg(F.max(best).alias("p")).select("bucket", (-F.col("p.col2")).alias("v"), F.col("p.n").alias("m")))
-        pairs = open_.join(pivots, "bucket").where((F.col("rep") != F.col("v")) & fits(F.col("n"), F.col("m"), percent))
-        if labels is not None:
-            pairs = apart(pairs.withColumnRenamed("rep", "u"), labels).withColumnRenamed("u", "rep")
-        pairs = stored(pairs.select(F.col("rep").alias("u"), "v").distinct())
-        if sets is None:
-            need = stored(members.select(F.col("rep").alias("id_")).distinct())
-            docs = df.withColumn("id_", F.col(id_col).cast("long")).select("id_", F.col(text_col).alias("text_"))
-            docs = semi_by_id(docs, need, need.count(), "id_")
-            sets = stored(sets_of(docs, "id_", "text_").dropDuplicates(["id"]))
-        found = confirmed(pairs, sets, percent)
-        edges = found if edges is None else edges.unionByName(found)
-        edges = stored(edges)
-        labels = components(edges)
-    # the rest: classes of one bucket that are in different components and can be that similar
-    left = unresolved(members, labels)
-    other = left.select("bucket", F.col("rep").alias("v"), F.col("n").alias("m"), F.col("label").alias("label_v"))
-    rest = left.join(other, "bucket").where((F.col("rep") > F.col("v")) & (F.col("label") != F.col("label_v")) & fits(F.col("n"), F.col("m"), percent))
-    found = confirmed(stored(rest.select(F.col("rep").alias("u"), "v").distinct()), sets, percent)
+    pivots = stored(members.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("p")).select("bucket", (-F.col("p.minus")).alias("v")))
+    pairs = stored(members.join(pivots, "bucket").select(F.col("rep").alias("u"), "v", "n").distinct())
+    least = stored(pairs.groupBy("v").agg(F.min("n").alias("least_n")))
+    need = stored(members.select(F.col("rep").alias("id_")).distinct())
+    docs = df.select(F.col(id_col).cast("long").alias("id_"), F.col(text_col).alias("text_"))
+    sets = stored(sets_of(semi_by_id(docs, need, need.count(), "id_"), "id_", "text_").dropDuplicates(["id"]))
+    held = stored(against_pivots(pairs.where("u != v").join(least, "v").select("u", "v", "least_n"), sets, percent))
+    edges = stored(held.where("linked").select("u", "v"))
+    labels = components(edges)
+    rest = together(remaining(held, labels, percent), sets)
+    found = stored(rest.where(similar(F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"), percent)).select("u", "v"))
     if found.limit(1).count():
         labels = components(edges.unionByName(found))
     named = classes.select("key", "rep").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -206,17 +228,3 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
         .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
     )
-
-
-def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets with several components, with their labels."""
-    named = members.select("bucket", "rep", "n", "weight").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    named = stored(named.select("bucket", "rep", "n", "weight", F.coalesce("component", "rep").alias("label")))
-    mixed = stored(named.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("bucket"))
-    return stored(named.join(mixed, "bucket"))
-
-
-def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (u, v), where u has its label, whose ends are in different components."""
-    v = labels.select(F.col("node").alias("v"), F.col("component").alias("label_v"))
-    return pairs.join(v, "v", "left").where(F.col("label") != F.coalesce("label_v", "v")).drop("label_v")
