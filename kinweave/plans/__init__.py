@@ -1 +1 @@
-
+"""Composed plans: the pipeline, the fixtures and the query catalogue."""
