@@ -6,8 +6,8 @@ place; t = floor(ln(weight) / r + b), ln a = ln c - r (t - b) - r, and the term
 a is sampled with its t. Two texts agree in a place with a probability that equals their generalised
 Jaccard similarity, sum of minima over sum of maxima of weights. A place keeps 16 bits of (term, t).
 
-The gamma values come from tables of QUANTILES mid-quantiles, indexed by bits of the term's hash, so that a sample costs
-a hash, two look-ups and a floor. Weights are counted inside a row: sorted hashes, run lengths.
+Gamma(2, 1) is the sum of two exponentials: r = -ln(u1 u2) with uniform u from bits of the term's hash. Weights are counted inside a
+row: sorted hashes, run lengths.
 
 Defined results: null texts are empty; an empty text has the fingerprint of zeros; equal texts
 have equal fingerprints; documents are ordered by descending id, equal ids by descending text and null ids last;
@@ -16,32 +16,20 @@ a lone document is its own next. Extra columns are not read.
 
 from __future__ import annotations
 
-import functools
-import math
+import hashlib
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.llm.common import stored
 
-SAMPLES, QUANTILES = 64, 4096
+SAMPLES = 64
+#: The least a of a text is exponential with its total weight as rate: it exceeds SURE over the total in one of 10^8 places, which then reads zero.
+SURE = 18.5
 #: Documents of about this many neighbouring ids are ordered together.
 BLOCK = 1024
 
 
-@functools.cache
-def gamma_quantiles(n: int = QUANTILES) -> tuple[float, ...]:
-    """Mid-quantiles of Gamma(2, 1), whose distribution function is 1 - (1 + x) exp(-x), by bisection."""
-    out = []
-    for i in range(n):
-        p, low, high = (i + 0.5) / n, 0.0, 60.0
-        for _ in range(60):
-            x = (low + high) / 2
-            low, high = (x, high) if 1 - (1 + x) * math.exp(-x) < p else (low, x)
-        out.append(low)
-    return tuple(out)
-
-
 def terms(text: Column) -> Column:
     """The sorted hashes of the words of a text."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,16 +46,30 @@ def weighted(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.withColumn(out, pairs).drop("last_")
 
 
-def sample(place: int, term: Column, log_weight: Column, r: Column, log_c: Column) -> Column:
-    """ln a in the upper 48 bits of a long, 16 bits of (term, t) below."""
-    g = F.xxhash64(term, F.lit(place))
-    bits = lambda shift, mask: F.shiftrightunsigned(g, shift).bitwiseAND(F.lit(mask))
-    rate = F.get(r, bits(52, QUANTILES - 1).cast("int"))
-    b = bits(16, (1 << 24) - 1) / F.lit(float(1 << 24))
+def sample(place: int, term: Column, log_weight: Column, limit: Column) -> Column:
+    """ln a in the upper 48 bits of a long, 16 bits of (term, t) below; null where a certainly exceeds the limit over the weight.
+
+    exp(-r) is u1 u2 and c is at least 1 - u3 u4, so a is at least (1 - u3 u4) u1 u2 / weight: only terms under the limit
+    need logarithms.
+    """
+    g = F.xxhash64(term.bitwiseXOR(F.lit(_salt(place))))
+    h = F.xxhash64(g)
+
+    def uniform(x: Column, shift: int, width: int) -> Column:
+        return (F.shiftrightunsigned(x, shift).bitwiseAND(F.lit((1 << width) - 1)) + F.lit(0.5)) * F.lit(2.0**-width)
+
+    e_r, e_c = uniform(g, 44, 20) * uniform(g, 32, 12), uniform(g, 12, 20) * uniform(g, 0, 12)
+    rate = -F.log(e_r)
+    b = uniform(h, 32, 32)
     t = F.floor(log_weight / rate + b)
-    log_a = F.get(log_c, bits(40, QUANTILES - 1).cast("int")) - rate * (t - b) - rate
-    code = F.xxhash64(g, t).bitwiseAND(F.lit(0xFFFF))
-    return F.shiftleft((log_a * F.lit(float(1 << 32))).cast("long"), 16).bitwiseOR(code)
+    log_a = F.log(-F.log(e_c)) - rate * (t - b) - rate
+    code = F.xxhash64(h, t).bitwiseAND(F.lit(0xFFFF))
+    return F.when((1 - e_c) * e_r <= limit, F.shiftleft((log_a * F.lit(float(1 << 32))).cast("long"), 16).bitwiseOR(code))
+
+
+def _salt(place: int) -> int:
+    """A fixed 63-bit number for each place."""
+    return int.from_bytes(hashlib.sha256(f"place {place}".encode()).digest()[:8], "big") >> 1
 
 
 def fingerprints(df: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -75,12 +77,11 @@ def fingerprints(df: DataFrame, keys: list[str], text: str) -> DataFrame:
 
     If df is dealt by one of the keys, nothing is shuffled.
     """
-    quantiles = gamma_quantiles()
-    r, log_c = (F.lit(list(x)) for x in (quantiles, [math.log(q) for q in quantiles]))
     df = df.select(*keys, terms(F.col(text)).alias("sorted_"))
-    df = weighted(df, "sorted_", "pairs_").select(*keys, F.explode_outer("pairs_").alias("pair_"))
-    df = df.select(*keys, F.col("pair_.term").alias("term_"), F.log(F.col("pair_.weight").cast("double")).alias("log_weight_"))
-    least = [F.min(sample(k, F.col("term_"), F.col("log_weight_"), r, log_c)).alias(f"s{k}") for k in range(SAMPLES)]
+    df = weighted(df, "sorted_", "pairs_").select(*keys, (F.lit(SURE) / F.greatest(F.size("sorted_"), F.lit(1))).alias("sure_"), F.explode_outer("pairs_").alias("pair_"))
+    weight = F.col("pair_.weight").cast("double")
+    df = df.select(*keys, F.col("pair_.term").alias("term_"), F.log(weight).alias("log_weight_"), (weight * F.col("sure_")).alias("limit_"))
+    least = [F.min(sample(k, *[F.col(c) for c in ("term_", "log_weight_", "limit_")])).alias(f"s{k}") for k in range(SAMPLES)]
     place = lambda k: F.lpad(F.hex(F.coalesce(F.when(F.col("terms_") > 0, F.col(f"s{k}").bitwiseAND(F.lit(0xFFFF))), F.lit(0).cast("long"))), 4, "0")
     out = df.groupBy(*keys).agg(*least, F.count("term_").alias("terms_"))
     return out.select(*keys, F.lower(F.concat(*[place(k) for k in range(SAMPLES)])).alias("fingerprint"))
