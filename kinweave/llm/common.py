@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Python works on so many characters of text at once, whatever the size of an Arrow batch.
-CHUNK_CHARS = 4_000_000
+#: Python works on about so many bytes of text at once, whatever the size of an Arrow batch.
+CHUNK_CHARS = 1_500_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,17 +42,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def chunks(texts: list[str], limit: int = CHUNK_CHARS):
-    """Ranges (start, end) of rows with about ``limit`` characters; a longer text stands alone."""
+def text_slices(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(start, end, texts) of runs of rows with about ``limit`` bytes; a longer text stands alone. Only one run is held as Python strings."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     start, held = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t)
-        if held and held + n > limit:
-            yield start, i
-            start, held = i, 0
-        held += n
-    if start < len(texts):
-        yield start, len(texts)
+    while start < len(column):
+        end = max(start + 1, int(np.searchsorted(ends, held + limit, side="right")))
+        yield start, end, column.slice(start, end - start).to_pylist()
+        start, held = end, ends[end - 1]
+    pa.default_memory_pool().release_unused()  # workers are kept for later stages
 
 
 def stored(df: DataFrame) -> DataFrame:

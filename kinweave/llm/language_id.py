@@ -24,26 +24,58 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import chunks, held_out
+from kinweave.llm.common import held_out, text_slices
 
 TRAIN_DOCS, TRAIN_WORDS, MAX_LANGUAGES = 500, 60, 64
-BUCKETS = 1 << 16
+BUCKETS, MAX_LETTERS = 1 << 16, 64
 EPOCHS, BATCH, RATE, DECAY = 4, 64, 0.2, 1e-6
-KEEP_WORDS = 400_000
+KEEP_WORDS = 200_000
 UNKNOWN = "und"
 _words = re.compile(r"[^\W\d_]+").findall
 
 
-def word_features(word: str) -> list[int]:
-    """Hashed ids of the lexicon entry, the affixes and the character trigrams of a word."""
-    w = word[:64]
-    padded = f"<{w}>"
-    names = [f"w{w}", *(f"p{w[:k]}" for k in (1, 2, 3)), *(f"s{w[-k:]}" for k in (1, 2, 3)), *(f"n{padded[i : i + 3]}" for i in range(len(padded) - 2))]
-    return [xxhash.xxh32_intdigest(n) % BUCKETS for n in names]
+def _bucket(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return ((x ^ (x >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of all words, word after word, and how many each has: the lexicon entry, three prefixes, three suffixes, the character trigrams.
+
+    Only the first MAX_LETTERS letters of a word count.
+    """
+    padded = [f"<{w[:MAX_LETTERS]}>" for w in words]
+    c = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.array([len(p) for p in padded], np.int64)
+    start = np.cumsum(size) - size
+    base = np.uint64(0x9E3779B97F4A7C15)
+    power = np.cumprod(np.full(MAX_LETTERS + 2, base))
+    at = np.arange(len(c)) - np.repeat(start, size)
+    whole = np.add.reduceat(c * power[at], start)
+    fixed = [whole]
+    n = size - 2
+    for k in (1, 2, 3):
+        k_ = np.minimum(k, n)
+        for kind, first in ((1, start + 1), (2, start + 1 + n - k_)):
+            h = np.full(len(words), kind * 16 + k, np.uint64)
+            for i in range(k):
+                h = np.where(i < k_, h * base + c[np.minimum(first + i, len(c) - 1)], h)
+            fixed.append(h)
+    three = c[:-2] * base * base + c[1:-1] * base + c[2:] + np.uint64(77)
+    own = np.repeat(np.arange(len(words)), size)
+    inside = own[:-2] == own[2:]
+    counts = 7 + n
+    out = np.empty(int(counts.sum()), np.int64)
+    first = np.cumsum(counts) - counts
+    for j, h in enumerate(fixed):
+        out[first + j] = _bucket(h + np.uint64(j))
+    grams = np.ones(len(out), bool)
+    grams[(first[:, None] + np.arange(7)).reshape(-1)] = False
+    out[grams] = _bucket(three[inside])
+    return out, counts
 
 
 @dataclass(frozen=True)
@@ -71,9 +103,8 @@ class Tagger:
             self.forget()
         new = [w for w in set(words) if w not in self.index]
         if new:
-            lists = [word_features(w) for w in new]
-            starts = np.cumsum([0, *map(len, lists[:-1])])
-            flat = np.fromiter((i for x in lists for i in x), np.int64)
+            flat, counts = word_features(new)
+            starts = np.cumsum(counts) - counts
             self.index.update(zip(new, range(len(self.scores), len(self.scores) + len(new)), strict=True))
             self.scores = np.concatenate([self.scores, np.add.reduceat(self.field.weights[flat], starts, axis=0)])
         return self.scores[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
@@ -135,8 +166,7 @@ def fit(examples: list[tuple[list[str], str]], seed: int = 5) -> Field:
     trans, trans_sq = np.zeros((k, k)), np.full((k, k), 1e-6)
     if k == 0:
         return Field(languages, weights.astype(np.float32), trans)
-    cache: dict[str, list[int]] = {}
-    coded = [([cache.setdefault(w, word_features(w)) if w not in cache else cache[w] for w in ws], languages.index(y)) for ws, y in examples]
+    coded = [(ws, languages.index(y)) for ws, y in examples]
     for _ in range(EPOCHS):
         order = rng.permutation(len(coded))
         pairs, i = [], 0
@@ -152,10 +182,8 @@ def fit(examples: list[tuple[list[str], str]], seed: int = 5) -> Field:
         for b in range(0, len(pairs), BATCH):
             part = pairs[b : b + BATCH]
             length = np.array([len(x) for x, _ in part])
-            lists = [f for x, _ in part for f in x]
             y = np.array([v for _, x in part for v in x])
-            counts = np.array([len(f) for f in lists])
-            flat = np.array([i for f in lists for i in f])
+            flat, counts = word_features([w for x, _ in part for w in x])
             emission = np.add.reduceat(weights[flat], np.cumsum(counts) - counts, axis=0)
             p, pair_p = _expected(emission, length, trans)
             g = p.copy()
@@ -232,9 +260,8 @@ def predict(df: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(shared.value)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in chunks([t or "" for t in texts]):
-                names, scores = tagger.label(texts[a:b])
+            for a, b, texts in text_slices(batch.column(1)):
+                names, scores = tagger.label(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[id_col, "lang_pred", "score"])
 
     kind = df.schema[id_col].dataType.simpleString()

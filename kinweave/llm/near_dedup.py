@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import chunks, semi_by_id, stored
+from kinweave.llm.common import semi_by_id, stored, text_slices
 from kinweave.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -126,9 +126,8 @@ def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in chunks([t or "" for t in texts]):
-                sets = shingle_sets(texts[a:b])
+            for a, b, texts in text_slices(batch.column(1)):
+                sets = shingle_sets(texts)
                 keys = [f"{int(mix(s).sum()):016x}{int(np.bitwise_xor.reduce(mix(s ^ _ODD[1]))):016x}" if len(s) else None for s in sets]
                 bands = band_keys(superminhash(sets))
                 lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), pa.array(bands.reshape(-1)))
@@ -142,9 +141,8 @@ def sets_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in chunks([t or "" for t in texts]):
-                sets = shingle_sets(texts[a:b])
+            for a, b, texts in text_slices(batch.column(1)):
+                sets = shingle_sets(texts)
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["id", "items"])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import chunks, held_out
+from kinweave.llm.common import held_out, text_slices
 
 PER_CLASS, NEIGHBOURS, COMPONENTS, SHARPNESS = 1500, 15, 48, 8
 SHAPES, GRAMS, BINS = 512, 1536, 8
@@ -140,9 +140,8 @@ def score(documents: DataFrame, space: Space, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in chunks([t or "" for t in texts]):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(shared.value.score(texts[a:b]), pa.float64())], names=[id_col, "score"])
+            for a, b, texts in text_slices(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(shared.value.score(texts), pa.float64())], names=[id_col, "score"])
 
     kind = documents.schema[id_col].dataType.simpleString()
     return documents.select(id_col, F.col(text_col).cast("string").alias("text_")).mapInArrow(run, f"`{id_col}` {kind}, score double")

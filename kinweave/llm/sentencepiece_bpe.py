@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import chunks
+from kinweave.llm.common import text_slices
 
 SPACE = "▁"
 NO_RANK = np.int32(2**31 - 1)
 #: Words of more symbols than this are merged by a heap.
 LONG_WORD = 400
 #: Words of at most KEEP_CHARS characters are remembered, KEEP_WORDS of them per Python worker.
-KEEP_CHARS, KEEP_WORDS = 40, 400_000
+KEEP_CHARS, KEEP_WORDS = 40, 250_000
 
 
 @dataclass(frozen=True)
@@ -316,9 +316,8 @@ def encode_decode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts):
-                ids, counts = c.encode(texts[a:b])
+            for a, b, texts in text_slices(batch.column(1)):
+                ids, counts = c.encode([t or "" for t in texts])
                 flat, offsets = c.decode(ids, counts)
                 if c.is_byte[ids].any():
                     raw = flat.tobytes()
