@@ -25,6 +25,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """What decisions are joined on: the id, or the text's hash where the id is null (a struct's null fields are equal in a join)."""
+    nameless = F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text_col).cast("string")))
+    return F.struct(F.col(id_col).alias("id"), nameless.alias("text_key"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the session; a folder of our own only where none is set, as in tests."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

@@ -12,7 +12,7 @@ broadcast up to a checked count; beyond it they are joined by a shuffle.
 
 Defined results: null or token-free texts are clean; items without tokens match nothing; items with
 fewer tokens than a span need all of their tokens, in order; equal items count each; a repeated id
-gives repeated rows with the union of what its rows hit. Extra columns are not read.
+gives repeated rows with the union of what its rows hit; a row with a null id stands for its own text. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import stored
+from kinweave.llm.common import row_key, stored
 
 #: 1: the token counts, 0: it is ignored.
 MASKS = ("110110011", "101101101", "111001011")
@@ -80,10 +80,11 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     return lists.select(F.col("id").alias(id_col), "item_ids")
 
 
-def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **columns: str) -> DataFrame:
+def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns: str) -> DataFrame:
     """id, contaminated, n_items and item_ids (comma-joined) for every row of docs."""
-    found = scan(docs, items, id_col, **columns)
-    out = docs.select(id_col).join(found, id_col, "left")
+    keyed = docs.withColumn("key_", row_key(id_col, text_col))
+    found = scan(keyed, items, "key_", text_col, **columns)
+    out = keyed.select(id_col, "key_").join(found, "key_", "left")
     return out.select(
         id_col,
         F.col("item_ids").isNotNull().alias("contaminated"),

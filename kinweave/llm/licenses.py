@@ -11,7 +11,7 @@ weights (a few thousand rows, fixed by the templates below, hence broadcast); on
 model knows are shuffled, and a paragraph without any is unknown by the model's intercepts.
 
 Defined results: null and empty texts have no license; a repeated id gives repeated rows with the
-union of what its rows hold; ties go to the family that comes first; extra columns are not read.
+union of what its rows hold; a row with a null id stands for its own text; ties go to the family that comes first; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.llm.common import row_key
 from kinweave.llm.decontaminate import tokens
 
 #: Sentences by which licenses are named or granted.
@@ -171,9 +172,10 @@ def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "t
 
 def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_paragraphs, licenses (distinct families) and paragraphs (number:family), comma-joined, for every row of df."""
-    found = scan(df, train(df.sparkSession), id_col, text_col)
-    lists = found.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("paragraph", "family"))).alias("all"))
-    out = df.select(id_col).join(lists, id_col, "left")
+    keyed = df.select(id_col, row_key(id_col, text_col).alias("key_"), text_col)
+    found = scan(keyed, train(df.sparkSession), "key_", text_col)
+    lists = found.groupBy("key_").agg(F.sort_array(F.collect_list(F.struct("paragraph", "family"))).alias("all"))
+    out = keyed.select(id_col, "key_").join(lists, "key_", "left")
     return out.select(
         id_col,
         F.coalesce(F.when(F.col("all").isNotNull(), F.size("all")), F.lit(0)).cast("long").alias("n_paragraphs"),

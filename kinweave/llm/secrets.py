@@ -96,8 +96,8 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label:
     keyed = df.select(F.struct(F.col(id_col), text_key.alias("text_key")).alias("key"), text_col, *{columns.get("owner_col", "source"), columns.get("repository_col", id_col)})
     live = F.filter("found", lambda s: s["verdict"] == "live")
     hits = scan(keyed, "key", text_col, **columns).select("key", live.alias("live_")).where("size(live_) > 0").dropDuplicates(["key"])
-    hits = stored(hits.select(F.col(f"key.{id_col}").alias("id_"), F.col("key.text_key").alias("text_key_"), "live_"))
-    keyed = df.withColumn("id_", F.col(id_col)).withColumn("text_key_", text_key)
-    out = semi_by_id(keyed, hits, hits.count(), ["id_", "text_key_"], "left")
+    hits = stored(hits.withColumnRenamed("key", "key_"))  # a struct, so that null ids are equal in the join
+    keyed = df.withColumn("key_", F.struct(F.col(id_col), text_key.alias("text_key")))
+    out = semi_by_id(keyed, hits, hits.count(), "key_", "left")
     text = F.when(F.col("live_").isNotNull(), S.replace_spans(F.col(text_col), F.col("live_"), label)).otherwise(F.col(text_col))
-    return out.withColumn(text_col, text).drop("id_", "text_key_", "live_")
+    return out.withColumn(text_col, text).drop("key_", "live_")
