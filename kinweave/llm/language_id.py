@@ -8,8 +8,8 @@ is the language with the largest sum over its words, and its score is that sum's
 
 Training: about TRAIN_DOCS documents of each language, chosen by a hash of the id among those that are
 not held out and have a language, and a run of TRAIN_WORDS words of each; half of the training
-sequences join the runs of two documents, so that transitions between languages occur. At most MAX_LANGUAGES values are learned,
-the most frequent ones.
+sequences join the runs of two documents, so that transitions between languages occur. Every value that a language column
+holds is learned, and every letter of a word counts.
 
 Defined results: ``und`` with score 0 for null texts and texts without a letter, and for all texts where
 no language can be learned; ties go to the first language in order; repeated rows give repeated rows;
@@ -27,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import held_out, text_slices
+from kinweave.llm.common import CHUNK_CHARS, held_out, text_slices
 
-TRAIN_DOCS, TRAIN_WORDS, MAX_LANGUAGES = 500, 60, 64
-BUCKETS, MAX_LETTERS = 1 << 16, 64
+TRAIN_DOCS, TRAIN_WORDS = 500, 60
+BUCKETS = 1 << 16
 EPOCHS, BATCH, RATE, DECAY = 4, 64, 0.2, 1e-6
 KEEP_WORDS = 200_000
+#: Weights that are gathered at once, and languages from which on fewer words and texts are held at a time.
+GATHER, MANY = 1 << 22, 16
 UNKNOWN = "und"
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -43,16 +45,13 @@ def _bucket(x: np.ndarray) -> np.ndarray:
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of all words, word after word, and how many each has: the lexicon entry, three prefixes, three suffixes, the character trigrams.
-
-    Only the first MAX_LETTERS letters of a word count.
-    """
-    padded = [f"<{w[:MAX_LETTERS]}>" for w in words]
+    """Hashed features of all words, word after word, and how many each has: the lexicon entry, three prefixes, three suffixes, the character trigrams."""
+    padded = [f"<{w}>" for w in words]
     c = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     size = np.array([len(p) for p in padded], np.int64)
     start = np.cumsum(size) - size
     base = np.uint64(0x9E3779B97F4A7C15)
-    power = np.cumprod(np.full(MAX_LETTERS + 2, base))
+    power = np.cumprod(np.full(size.max(), base))
     at = np.arange(len(c)) - np.repeat(start, size)
     whole = np.add.reduceat(c * power[at], start)
     fixed = [whole]
@@ -78,6 +77,27 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
+def groups(words: list[str], letters: int) -> Iterator[list[str]]:
+    """Runs of words with about so many letters; a longer word stands alone."""
+    part, held = [], 0
+    for w in words:
+        if part and held + len(w) > letters:
+            yield part
+            part, held = [], 0
+        part.append(w)
+        held += len(w)
+    if part:
+        yield part
+
+
+def summed(weights: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sum of each word's weights; those of a very long word are added up in slices."""
+    step = GATHER // weights.shape[1]
+    if len(counts) == 1 and len(flat) > step:
+        return sum(weights[flat[a : a + step]].sum(axis=0, dtype=np.float64) for a in range(0, len(flat), step))[None]
+    return np.add.reduceat(weights[flat], np.cumsum(counts) - counts, axis=0)
+
+
 @dataclass(frozen=True)
 class Field:
     """The learned model."""
@@ -87,6 +107,11 @@ class Field:
     transitions: np.ndarray  # languages x languages, logarithms
 
 
+def fewer(n: int, languages: int) -> int:
+    """n, or less for more than MANY languages, so that tables of words by languages keep their size."""
+    return max(1, n * MANY // max(MANY, languages))
+
+
 class Tagger:
     """Emission scores of words, remembered, and forward-backward over many sequences at once."""
 
@@ -99,14 +124,14 @@ class Tagger:
         self.scores = np.zeros((0, len(self.field.languages)))
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        if len(self.index) > KEEP_WORDS:
+        k = len(self.field.languages)
+        if len(self.index) > fewer(KEEP_WORDS, k):
             self.forget()
         new = [w for w in set(words) if w not in self.index]
         if new:
-            flat, counts = word_features(new)
-            starts = np.cumsum(counts) - counts
+            sums = [summed(self.field.weights, *word_features(part)) for part in groups(new, GATHER // k)]
             self.index.update(zip(new, range(len(self.scores), len(self.scores) + len(new)), strict=True))
-            self.scores = np.concatenate([self.scores, np.add.reduceat(self.field.weights[flat], starts, axis=0)])
+            self.scores = np.concatenate([self.scores, *sums])
         return self.scores[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
 
     def label(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -213,9 +238,8 @@ def _expected(emission: np.ndarray, length: np.ndarray, trans: np.ndarray) -> tu
     e = np.exp(emission - emission.max(axis=1, keepdims=True))
     a = np.exp(trans)
     alpha, beta = _messages(e, length, a)
-    joint = alpha[at][:, :, None] * a[None] * (e[at + 1] * beta[at + 1])[:, None, :]
-    joint /= joint.sum(axis=(1, 2), keepdims=True)
-    return p, joint.sum(axis=0)
+    left, right = alpha[at], e[at + 1] * beta[at + 1]
+    return p, a * ((left / ((left @ a) * right).sum(axis=1, keepdims=True)).T @ right)
 
 
 def _messages(e: np.ndarray, length: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +260,7 @@ def _messages(e: np.ndarray, length: np.ndarray, a: np.ndarray) -> tuple[np.ndar
 def training_runs(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> list[tuple[list[str], str]]:
     """The bounded training sample: a run of words from about TRAIN_DOCS documents of each language."""
     known = df.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull())
-    sizes = known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES).collect()
+    sizes = known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).collect()
     if not sizes:
         return []
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r[0], TRAIN_DOCS / r[1])])
@@ -255,12 +279,13 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def predict(df: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred and score for every row of df; partitions stay as they are."""
-    shared = df.sparkSession.sparkContext.broadcast(field)  # BUCKETS x MAX_LANGUAGES floats at most
+    shared = df.sparkSession.sparkContext.broadcast(field)  # BUCKETS x languages floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(shared.value)
+        field_languages = shared.value.languages
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1)):
+            for a, b, texts in text_slices(batch.column(1), fewer(CHUNK_CHARS, len(field_languages))):
                 names, scores = tagger.label(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[id_col, "lang_pred", "score"])
 
