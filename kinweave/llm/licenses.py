@@ -1,10 +1,11 @@
 """License scans by a trained paragraph classifier.
 
-Paragraphs (lines) are classified by a multinomial logistic regression over sparse word n-grams. The
+Paragraphs are classified by a multinomial logistic regression over sparse word n-grams. The
 model learns from the families' template sentences and from sentences without a license; a class of its
 own stands for the unknown, and a threshold calibrated on paragraphs that the model has not seen guards it.
 A prediction counts only if it is confirmed: the paragraph must hold enough of the n-grams of one of
-the family's templates.
+the family's templates. Paragraphs are single lines and, since texts are often wrapped, runs of words over two or more
+lines that hold enough of a template; a run counts where none of its lines has its family.
 
 All texts are scored: their n-grams are hashed in one pass and joined with the model's table of
 weights (a few thousand rows, fixed by the templates below, hence broadcast); only n-grams that the
@@ -26,7 +27,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import row_key
+from kinweave.llm.common import row_key, stored
 from kinweave.llm.decontaminate import tokens
 
 #: Sentences by which licenses are named or granted.
@@ -57,6 +58,8 @@ OTHER = [
 TRAINING_ROWS, SEED = 2_600, 11
 #: n-grams of so many words; a confirmed paragraph holds this share of a template's.
 SIZES, CONFIRM = (2, 3), 0.6
+#: A license that is broken over lines may hold so many times a template's words; SLOT words are joined at once.
+SLACK, SLOT = 1.5, 64
 
 
 def words(text: str) -> list[str]:
@@ -143,31 +146,86 @@ def gram_key(array: str, at: Column, n: int) -> Column:
     return F.xxhash64(F.lit(n), *[F.get(F.col(array), at + k) for k in range(n)])
 
 
+def best_windows(s: Column, longest: Column, size: Column) -> Column:
+    """Windows (at, to, first, last) of ordered hits of one template that hold enough of its n-grams; of overlapping ones the fullest.
+
+    A window starts at a hit, is at most ``longest`` words long and ends with the last n-gram that it adds.
+    """
+    at_once = 2 * math.ceil(SLACK * max(len(words(t)) for ts in TEMPLATES.values() for t in ts))  # two sizes of n-grams begin at a word
+
+    def window(x: Column, k: Column) -> Column:
+        near = F.filter(F.slice(s, k + 1, at_once), lambda y: y["to"] <= x["at"] + longest)
+        grams = F.transform(near, lambda y: y["g"])
+        new = F.filter(near, lambda y, i: F.array_position(grams, y["g"]) == i + 1)
+        return F.struct(x["at"].alias("at"), F.array_max(F.transform(new, lambda y: y["to"])).alias("to"), x["a"].alias("first"), F.array_max(F.transform(new, lambda y: y["b"])).alias("last"), (F.size(new) / size).alias("share"))
+
+    full = F.filter(F.transform(s, window), lambda w: w["share"] >= CONFIRM)
+    top = lambda acc: F.get(acc, F.size(acc) - 1)
+    kept = F.aggregate(
+        full,
+        F.array().cast("array<struct<at:int,to:int,first:int,last:int,share:double>>"),
+        lambda acc, w: F.when((F.size(acc) == 0) | (top(acc)["to"] <= w["at"]), F.concat(acc, F.array(w))).when(w["share"] >= top(acc)["share"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(w))).otherwise(acc),
+    )
+    return F.filter(kept, lambda w: w["first"] < w["last"])
+
+
 def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, paragraph (its number, from 0), family, probability and confirmed share for every licensed paragraph."""
+    """id, paragraph (the number, from 0, of its line, or of its first line), family, probability and confirmed share for every licensed paragraph."""
     spark = df.sparkSession
-    templates = [(f, sorted(set(ngrams(t)))) for f, ts in TEMPLATES.items() for t in ts]
-    rows = [{"gram": g, "weights": list(model.weights.get(g, [0.0] * len(model.classes))), "of": [i for i, (_, gs) in enumerate(templates) if g in gs]} for g in sorted({*model.weights, *(g for _, gs in templates for g in gs)})]
-    table = spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), "array<struct<gram:string,weights:array<double>,of:array<int>>>")))
+    templates = [(f, sorted(set(ngrams(t))), len(words(t))) for f, ts in TEMPLATES.items() for t in ts]
+    known = sorted({*model.weights, *(g for _, gs, _ in templates for g in gs)})
+    rows = [{"g": k, "gram": g, "weights": list(model.weights.get(g, [0.0] * len(model.classes))), "of": [i for i, (_, gs, _) in enumerate(templates) if g in gs]} for k, g in enumerate(known)]
+    table = spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), "array<struct<g:int,gram:string,weights:array<double>,of:array<int>>>")))
     table = table.withColumn("h", tokens(F.col("gram")))
-    table = table.withColumn("key", F.coalesce(*[F.when(F.size("h") == n, gram_key("h", F.lit(0), n)) for n in SIZES])).select("key", "weights", "of")
+    table = table.withColumn("key", F.coalesce(*[F.when(F.size("h") == n, gram_key("h", F.lit(0), n)) for n in SIZES]))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    paragraphs = df.select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("paragraph", "p"))
-    paragraphs = paragraphs.select("id", "paragraph", tokens(F.col("p")).alias("h")).withColumn("n", F.size("h")).where(F.col("n") >= SIZES[0])
-    grams = paragraphs.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - SIZES[0])))
-    grams = grams.withColumn("key", F.explode(F.array(*[F.when(F.col("at") + n <= F.col("n"), gram_key("h", F.col("at"), n)) for n in SIZES])))
-    hits = grams.select("id", "paragraph", "key").join(F.broadcast(table), "key").distinct()
+    lines = F.transform(F.split(text, "\n", -1), tokens)
+    texts = df.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("text")).alias("row"), lines.alias("lines"))
+    numbers = F.flatten(F.transform("lines", lambda x, i: F.array_repeat(i, F.size(x))))
+    texts = texts.select("row", F.flatten("lines").alias("h"), numbers.alias("line")).withColumn("n", F.size("h")).where(F.col("n") >= SIZES[0])
+    # n-grams run over line breaks; at and to: the words that one spans, a and b: the lines
+    grams = texts.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - SIZES[0])))
+    sized = [F.when(F.col("at") + n <= F.col("n"), F.struct(gram_key("h", F.col("at"), n).alias("key"), (F.col("at") + n).alias("to"))) for n in SIZES]
+    grams = grams.withColumn("k", F.explode(F.array(*sized))).select("row", "at", F.col("k.to").alias("to"), F.col("k.key").alias("key"), F.get("line", F.col("at")).alias("a"), F.get("line", F.col("k.to") - 1).alias("b"))
+    hits = stored(grams.join(F.broadcast(table.select("key", "g")), "key").select("row", "at", "to", "a", "b", "g"))
+
+    weights = table.select("g", "weights", "of")
     sums = [F.sum(F.col("weights")[k]) for k in range(len(model.classes))]
-    shares = [F.sum(F.array_contains("of", i).cast("int")) / float(len(g)) for i, (_, g) in enumerate(templates)]
-    scored = hits.groupBy("id", "paragraph").agg(F.array(*[s + F.lit(b) for s, b in zip(sums, model.intercepts, strict=True)]).alias("z"), F.array(*shares).alias("share"))
-    top = F.array_max("z")
-    scored = scored.withColumn("family_at", F.array_position("z", top).cast("int") - 1)
-    scored = scored.withColumn("probability", 1 / F.aggregate(F.transform("z", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x))
-    of_family = F.array(*[F.lit(model.classes.index(f)) for f, _ in templates])
-    best = F.array_max(F.zip_with("share", of_family, lambda s, f: F.when(f == F.col("family_at"), s).otherwise(0.0)))
-    scored = scored.withColumn("confirmed", best).where((F.col("family_at") > 0) & (F.col("probability") >= model.least) & (F.col("confirmed") >= CONFIRM))
+    shares = [F.sum(F.array_contains("of", i).cast("int")) / float(len(g)) for i, (_, g, _) in enumerate(templates)]
+    of_family = F.array(*[F.lit(model.classes.index(f)) for f, _, _ in templates])
+
+    def judged(parts: DataFrame, by: list[str]) -> DataFrame:
+        """The confirmed families of parts, tables of n-grams."""
+        z = parts.select(*by, "g").distinct().join(F.broadcast(weights), "g").groupBy(*by)
+        scored = z.agg(F.array(*[s + F.lit(b) for s, b in zip(sums, model.intercepts, strict=True)]).alias("z"), F.array(*shares).alias("share"))
+        top = F.array_max("z")
+        scored = scored.withColumn("family_at", F.array_position("z", top).cast("int") - 1)
+        scored = scored.withColumn("probability", 1 / F.aggregate(F.transform("z", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x))
+        best = F.array_max(F.zip_with("share", of_family, lambda s, f: F.when(f == F.col("family_at"), s).otherwise(0.0)))
+        scored = scored.withColumn("confirmed", best).where((F.col("family_at") > 0) & (F.col("probability") >= model.least) & (F.col("confirmed") >= CONFIRM))
+        return scored.select(*by, "family_at", "probability", "confirmed")
+
+    single = stored(judged(hits.where("a = b"), ["row", "a"]).withColumnRenamed("a", "first"))
+    # licenses that are broken over lines: windows of the hits of each template
+    each = hits.join(F.broadcast(weights.select("g", F.explode("of").alias("template"))), "g")
+    lists = each.groupBy("row", "template").agg(F.sort_array(F.collect_list(F.struct("at", "to", "a", "b", "g"))).alias("s"), F.size(F.collect_set("g")).alias("held"))
+    size = F.get(F.array(*[F.lit(float(len(g))) for _, g, _ in templates]), F.col("template"))
+    longest = F.get(F.array(*[F.lit(math.ceil(SLACK * n)) for _, _, n in templates]), F.col("template"))
+    spans = lists.where(F.col("held") >= CONFIRM * size).select("row", "template", F.explode(best_windows(F.col("s"), longest, size)).alias("w"))
+    spans = stored(spans.select("row", F.get(of_family, F.col("template")).alias("wanted"), F.col("w.at").alias("from"), F.col("w.to").alias("until"), "w.first", "w.last").distinct())
+    slot = lambda c: F.floor(F.col(c) / SLOT)
+    inside = spans.withColumn("slot", F.explode(F.sequence(slot("from"), slot("until")))).join(hits.select("row", "at", "to", "g", slot("at").alias("slot")), ["row", "slot"]).where("at >= from and to <= until")
+    runs = judged(inside, ["row", "wanted", "from", "until", "first", "last"]).where("family_at = wanted")
+    # of overlapping runs the longest stays, and only where no line of it says the same
+    ordered = F.sort_array(F.collect_list(F.struct((F.col("from") - F.col("until")).alias("minus"), "from", "until", "first", "last", "family_at", "probability", "confirmed")))
+    runs = runs.groupBy("row").agg(ordered.alias("r"))
+    said = single.groupBy("row").agg(F.collect_list(F.struct("first", "family_at")).alias("said"))
+    runs = runs.join(said, "row", "left").withColumn("r", F.filter("r", lambda x: ~F.coalesce(F.exists("said", lambda y: (y["family_at"] == x["family_at"]) & y["first"].between(x["first"], x["last"])), F.lit(False))))
+    apart = F.aggregate("r", F.slice("r", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda y: (y["from"] < x["until"]) & (x["from"] < y["until"])), acc).otherwise(F.concat(acc, F.array(x))))
+    runs = runs.select("row", F.inline(apart)).select("row", "first", "family_at", "probability", "confirmed")
     names = F.array(*[F.lit(c) for c in model.classes])
-    return scored.select(F.col("id").alias(id_col), F.col("paragraph").cast("long").alias("paragraph"), F.get(names, F.col("family_at")).alias("family"), "probability", "confirmed")
+    found = single.unionByName(runs)
+    return found.select(F.col("row.id").alias(id_col), F.col("first").cast("long").alias("paragraph"), F.get(names, F.col("family_at")).alias("family"), "probability", "confirmed")
 
 
 def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
