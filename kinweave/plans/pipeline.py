@@ -52,7 +52,7 @@ class Config:
     transitivity_features: bool = True
     max_pairs: int = 500
     cv_n_splits: int = 5
-    max_iter: int = 100
+    max_iter: int = matching.MAX_ITER
     max_depth: int = 6
     learning_rate: float = 0.05
     constraint_resolution: bool = True
