@@ -508,7 +508,7 @@ def isotonic_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def gbt_out_of_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features.competition_features(preds(spark, sf_dir))
-    return rounded(model.fold_metrics(model.out_of_fold(rows, n_splits=3, max_iter=5, depth=3)), "mean_score")
+    return rounded(model.fold_metrics(model.out_of_fold(rows)), "mean_score")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
