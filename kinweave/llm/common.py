@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,7 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Python works on about so many bytes of text at once, whatever the size of an Arrow batch.
-CHUNK_CHARS = 1_500_000
+CHUNK_CHARS = 1_000_000
+#: Rows of an Arrow batch of texts, at most; Spark's own bound of 10,000 rows is for short ones.
+BATCH_ROWS = 1_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,21 +35,51 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(id_col).alias("id"), nameless.alias("text_key"))
 
 
+def text_key(id_col: str, text_col: str) -> Column:
+    """What decisions on single rows are joined on: rows with equal keys have the same id and text."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text"))
+
+
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores more as make it none of df's columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a folder of our own only where none is set, as in tests."""
+    """The shared folder of the session; where none is set, a folder of our own in local mode, as in tests, and an error on a cluster."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         if shared is None:
+            if not sc.master.split("[")[0] == "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             shared = tempfile.mkdtemp(prefix="kinweave-checkpoints-")
         sc.setCheckpointDir(shared)
     return shared or sc._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a reliable checkpoint, which survives lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def text_batches(df: DataFrame) -> DataFrame:
+    """df, with its session's Arrow batches bounded for long texts: both sides of a Python worker's socket hold a batch."""
+    conf = df.sparkSession.conf
+    most = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < most <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
+def released(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts; at their end, what a task has freed goes back to the system, since its worker is kept for later stages."""
+    yield from parts
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def text_slices(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int, list[str | None]]]:
@@ -56,7 +90,6 @@ def text_slices(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[in
         end = max(start + 1, int(np.searchsorted(ends, held + limit, side="right")))
         yield start, end, column.slice(start, end - start).to_pylist()
         start, held = end, ends[end - 1]
-    pa.default_memory_pool().release_unused()  # workers are kept for later stages
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -67,7 +100,17 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_dir(df.sparkSession)}/kinweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes stored tables; only for those of which every result that is still to be read has itself been stored."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def semi_by_id(df: DataFrame, ids: DataFrame, n: int, on: str, how: str = "left_semi", limit: int = 2_000_000) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import stored
+from kinweave.llm.common import forget, stored
 
 #: Union-find works on so many edges at once and passes on at most one edge for each of their nodes.
 BLOCK_EDGES = 500_000
@@ -53,13 +53,15 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("node"), F.min("v")).alias("component")))
     for _ in range(most_rounds):
+        old = labels
         near = both.join(labels.withColumnRenamed("node", "u"), "u").groupBy(F.col("v").alias("node")).agg(F.min("component").alias("least"))
-        step = labels.join(stored(near), "node", "left").select("node", "component", F.least("component", "least").alias("label"))
-        step = stored(step)
+        near = stored(near)
+        step = stored(labels.join(near, "node", "left").select("node", "component", F.least("component", "least").alias("label")))
         jump = stored(step.select(F.col("node").alias("label"), F.col("label").alias("further")))
-        new = stored(step.join(jump, "label", "left").select("node", "component", F.least("label", "further").alias("new")))
-        changed = new.where(F.col("new") != F.col("component")).limit(1).count()
-        labels = new.select("node", F.col("new").alias("component"))
+        new = stored(step.join(jump, "label", "left").select("node", F.least("label", "further").alias("component"), (F.col("component") != F.least("label", "further")).alias("changed")))
+        changed = new.where("changed").limit(1).count()
+        forget(old, near, step, jump)
+        labels = new
         if not changed:
-            return labels
+            return labels.select("node", "component")
     raise RuntimeError("labels still change after the allowed rounds")

@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import CHUNK_CHARS, held_out, text_slices
+from kinweave.llm.common import CHUNK_CHARS, held_out, released, text_batches, text_slices
 
 TRAIN_DOCS, TRAIN_WORDS = 500, 60
 BUCKETS = 1 << 16
 EPOCHS, BATCH, RATE, DECAY = 4, 64, 0.2, 1e-6
-KEEP_WORDS = 200_000
+KEEP_WORDS = 120_000
 #: Weights that are gathered at once, and languages from which on fewer words and texts are held at a time.
 GATHER, MANY = 1 << 22, 16
 UNKNOWN = "und"
@@ -266,10 +266,18 @@ def training_runs(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> l
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r[0], TRAIN_DOCS / r[1])])
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = known.where(F.element_at(share, F.col(lang_col)) > draw)
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), r"[^\p{L}]+"), lambda w: w != "")
-    picked = picked.select(words.alias("words"), lang_col, F.xxhash64(F.lit("run"), F.col(id_col)).alias("h")).where("size(words) > 0")
-    at = F.pmod(F.col("h"), F.greatest(F.lit(1), F.size("words") - TRAIN_WORDS + 1)).cast("int") + 1
-    rows = picked.select(F.slice("words", at, F.lit(TRAIN_WORDS)).alias("words"), lang_col, "h").collect()
+    picked = picked.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.lit("run"), F.col(id_col)).alias("h"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, texts in text_slices(batch.column(0)):
+                words = [_words((t or "").lower()) for t in texts]
+                first = [h % max(1, len(w) - TRAIN_WORDS + 1) for w, h in zip(words, batch.column(2).slice(a, b - a).to_pylist(), strict=True)]
+                runs = [w[i : i + TRAIN_WORDS] for w, i in zip(words, first, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(runs, pa.list_(pa.string())), batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a)], names=["words", "lang", "h"])
+
+    kind = picked.schema["lang"].dataType.simpleString()
+    rows = text_batches(picked).mapInArrow(run, f"words array<string>, lang {kind}, h long").where("size(words) > 0").collect()
     return [(list(r[0]), r[1]) for r in sorted(rows, key=lambda r: (r[1], r[2], r[0]))]
 
 
@@ -290,7 +298,8 @@ def predict(df: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[id_col, "lang_pred", "score"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, F.col(text_col).cast("string").alias("text_")).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+    rows = text_batches(df.select(id_col, F.col(text_col).cast("string").alias("text_")))
+    return rows.mapInArrow(lambda batches: released(run(batches)), f"`{id_col}` {kind}, lang_pred string, score double")
 
 
 def label_words(text: str, field: Field) -> list[tuple[str, str]]:

@@ -14,8 +14,8 @@ that pass one of these tests are held against each other, on full sets. A bucket
 or of texts with a common passage, thus costs about its size, and no partner is capped.
 
 Defined results: null or blank texts have an empty set, link with nothing and are kept; rows with
-a null id link with nothing and have a null component; repeated rows with one id are one document.
-Extra columns are not read.
+a null id link with nothing and have a null component; rows that share an id are one document, so what one of them links with is
+linked with all of them, whatever their texts. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import semi_by_id, stored, text_slices
+from kinweave.llm.common import forget, released, semi_by_id, stored, text_batches, text_slices
 from kinweave.llm.components import components
 
 SHINGLE_WORDS = 5
 #: 16 bands of 4 places: of pairs with similarity 0.85, fewer than one in 100,000 share no band.
 PLACES, BANDS = 64, 16
 PERCENT = 85
-BLOCK_SHINGLES = 250_000
+BLOCK_SHINGLES = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -128,26 +128,33 @@ def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1)):
                 sets = shingle_sets(texts)
-                keys = [f"{int(mix(s).sum()):016x}{int(np.bitwise_xor.reduce(mix(s ^ _ODD[1]))):016x}" if len(s) else None for s in sets]
+                keys = [set_key(s) for s in sets]
                 bands = band_keys(superminhash(sets))
                 lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), pa.array(bands.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.string()), lists], names=["id", "n_shingles", "key", "bands"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n_shingles long, key string, bands array<long>")
+    rows = text_batches(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
+    return rows.mapInArrow(lambda batches: released(run(batches)), "id long, n_shingles long, key string, bands array<long>")
+
+
+def set_key(s: np.ndarray) -> str | None:
+    """128 bits for a whole set; none for the empty one."""
+    return f"{int(mix(s).sum()):016x}{int(np.bitwise_xor.reduce(mix(s ^ _ODD[1]))):016x}" if len(s) else None
 
 
 def sets_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id and full shingle set."""
+    """key and full shingle set of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1)):
+            for _, _, texts in text_slices(batch.column(0)):
                 sets = shingle_sets(texts)
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["id", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.string()), lists], names=["key", "items"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, items array<long>")
+    rows = text_batches(df.select(F.col(text_col).cast("string").alias("text")))
+    return rows.mapInArrow(lambda batches: released(run(batches)), "key string, items array<long>")
 
 
 def fits(n: Column, m: Column, percent: int) -> Column:
@@ -198,31 +205,46 @@ def remaining(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of df."""
     rows = stored(signatures(df, id_col, text_col))
-    classes = stored(rows.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.min("n_shingles").alias("n"), F.min_by("bands", "id").alias("bands")))
+    named = rows.where("key is not null and id is not null")
+    classes = named.groupBy("key").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"), F.min_by("bands", "id").alias("bands"))
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()))  # a number for each class, fixed once it is written
     # one row for each class and band; only buckets of two classes or more matter
     slots = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     buckets = stored(slots.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
     members = stored(slots.join(buckets, "bucket"))
     weight = stored(members.groupBy("rep").agg(F.sum("size").alias("weight")))
-    members = stored(members.join(weight, "rep").select("bucket", "rep", "n", "weight"))
-    pivots = stored(members.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("p")).select("bucket", (-F.col("p.minus")).alias("v")))
-    pairs = stored(members.join(pivots, "bucket").select(F.col("rep").alias("u"), "v", "n").distinct())
+    weighed = stored(members.join(weight, "rep").select("bucket", "rep", "n", "weight"))
+    pivots = stored(weighed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("p")).select("bucket", (-F.col("p.minus")).alias("v")))
+    pairs = stored(weighed.join(pivots, "bucket").select(F.col("rep").alias("u"), "v", "n").distinct())
     least = stored(pairs.groupBy("v").agg(F.min("n").alias("least_n")))
-    need = stored(members.select(F.col("rep").alias("id_")).distinct())
-    docs = df.select(F.col(id_col).cast("long").alias("id_"), F.col(text_col).alias("text_"))
-    sets = stored(sets_of(semi_by_id(docs, need, need.count(), "id_"), "id_", "text_").dropDuplicates(["id"]))
+    need = stored(weighed.select("rep").distinct().join(classes.select("rep", "key", "id"), "rep"))
+    n_need = need.count()
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text_"))
+    texts = semi_by_id(docs, need.select("id").distinct(), n_need, "id")
+    sets = semi_by_id(sets_of(texts, "id", "text_"), need.select("key", F.col("rep").alias("id")), n_need, "key", "inner")
+    sets = stored(sets.select("id", "items").dropDuplicates(["id"]))
+    forget(members, weight, weighed, buckets, pivots)
     held = stored(against_pivots(pairs.where("u != v").join(least, "v").select("u", "v", "least_n"), sets, percent))
-    edges = stored(held.where("linked").select("u", "v"))
+    # rows that share an id are one document: their classes hang together
+    several = named.join(classes.select("key", "rep"), "key").groupBy("id").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v < most")
+    several = stored(several.select("id", "v"))
+    edges = held.where("linked").select("u", "v")
+    if n_several := several.count():
+        shared = semi_by_id(named.select("id", "key").distinct(), several, n_several, "id", "inner").join(classes.select("key", F.col("rep").alias("u")), "key").where("u != v")
+        edges = edges.unionByName(shared.select("u", "v"))
+    edges = stored(edges)
     labels = components(edges)
     rest = together(remaining(held, labels, percent), sets)
     found = stored(rest.where(similar(F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"), percent)).select("u", "v"))
     if found.limit(1).count():
         labels = components(edges.unionByName(found))
-    named = classes.select("key", "rep").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    named = stored(named.select("key", F.coalesce("component", "rep").alias("component")))
+    forget(sets, held, pairs, least, need, several)
+    marked = classes.select("key", "rep", "id").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    smallest = marked.groupBy("component").agg(F.min("id").alias("component_id"))
+    marked = stored(marked.join(smallest, "component").select("key", "component_id"))
     return (
         rows.select("id", "n_shingles", "key")
-        .join(named, "key", "left")
-        .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+        .join(marked, "key", "left")
+        .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
     )

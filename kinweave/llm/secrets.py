@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm import spans as S
-from kinweave.llm.common import semi_by_id, stored
+from kinweave.llm.common import semi_by_id, spare, stored, text_key
 
 #: The rules' patterns, each as two groups that together are the match.
 KINDS = {
@@ -62,14 +62,11 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_co
     found = stored(found)
     counts = stored(ownership(found))
     example = (F.col("n_owners") >= EXAMPLE_OWNERS) & (F.col("n_repositories") >= EXAMPLE_REPOSITORIES)
-    judged = found.join(counts, "value_hash").select("row", F.struct("start", "kind", "end", F.when(example, "example").otherwise("live").alias("verdict")).alias("s"))
-    lists = judged.groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("all"))
-    rule = F.filter("all", lambda s: s["kind"] != generic)
-    keep = F.filter(
-        "all",
-        lambda s: (s["kind"] != generic) | ((s["verdict"] == "live") & ~F.exists(rule, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))),
-    )
-    lists = lists.select("row", keep.alias("found"))
+    judged = found.join(counts, "value_hash").select("row", "start", "kind", "end", F.when(example, "example").otherwise("live").alias("verdict"))
+    judged = stored(judged.where((F.col("kind") != generic) | (F.col("verdict") == "live")))
+    lost = S.beaten(judged, F.col("kind") == generic, lambda b, s: b["kind"] != generic)
+    kept = judged.join(lost, ["row", "kind", "start"], "left_anti").select("row", F.struct("start", "kind", "end", "verdict").alias("s"))
+    lists = kept.groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("found"))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,verdict:string>>")
     return rows.select("row", "id").join(lists, "row", "left").select(F.col("id").alias(id_col), F.coalesce("found", none).alias("found"))
 
@@ -92,12 +89,11 @@ def report(df: DataFrame, id_col: str = "doc_id", **columns: str) -> DataFrame:
 
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "[SECRET]", **columns: str) -> DataFrame:
     """df with every live-looking span of its texts replaced by the label; all rows and columns stay."""
-    text_key = F.xxhash64(text_col)
-    keyed = df.select(F.struct(F.col(id_col), text_key.alias("text_key")).alias("key"), text_col, *{columns.get("owner_col", "source"), columns.get("repository_col", id_col)})
-    live = F.filter("found", lambda s: s["verdict"] == "live")
-    hits = scan(keyed, "key", text_col, **columns).select("key", live.alias("live_")).where("size(live_) > 0").dropDuplicates(["key"])
-    hits = stored(hits.withColumnRenamed("key", "key_"))  # a struct, so that null ids are equal in the join
-    keyed = df.withColumn("key_", F.struct(F.col(id_col), text_key.alias("text_key")))
-    out = semi_by_id(keyed, hits, hits.count(), "key_", "left")
-    text = F.when(F.col("live_").isNotNull(), S.replace_spans(F.col(text_col), F.col("live_"), label)).otherwise(F.col(text_col))
-    return out.withColumn(text_col, text).drop("key_", "live_")
+    key, live = spare(df, "key", "live")
+    keyed = df.withColumn(key, text_key(id_col, text_col))
+    spans = F.filter("found", lambda s: s["verdict"] == "live")
+    hits = scan(keyed, key, text_col, **{"repository_col": id_col} | columns).select(key, spans.alias(live)).where(F.size(live) > 0).dropDuplicates([key])
+    hits = stored(hits)
+    out = semi_by_id(keyed, hits, hits.count(), key, "left")
+    text = F.when(F.col(live).isNotNull(), S.replace_spans(F.col(text_col), F.col(live), label)).otherwise(F.col(text_col))
+    return out.withColumn(text_col, text).drop(key, live)

@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import text_slices
+from kinweave.llm.common import released, text_batches, text_slices
 
 SPACE = "▁"
 NO_RANK = np.int32(2**31 - 1)
 #: Words of more symbols than this are merged by a heap.
 LONG_WORD = 400
 #: Words of at most KEEP_CHARS characters are remembered, KEEP_WORDS of them per Python worker.
-KEEP_CHARS, KEEP_WORDS = 40, 250_000
+KEEP_CHARS, KEEP_WORDS = 40, 150_000
 
 
 @dataclass(frozen=True)
@@ -328,7 +328,8 @@ def encode_decode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists, decoded], names=[id_col, "ids", "decoded"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, F.col(text_col).cast("string").alias("text_")).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    rows = text_batches(df.select(id_col, F.col(text_col).cast("string").alias("text_")))
+    return rows.mapInArrow(lambda batches: released(run(batches)), f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -7,6 +7,8 @@ sums run over parts of the documents that have a match, not over texts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ MARK, INNER, STAND_IN = "", "", "�"
 
 #: Characters of context that are kept on either side of a match.
 BEFORE, AFTER = 24, 8
+CELL = 64
 
 
 def part_of(number: int):
@@ -26,17 +29,20 @@ def part_of(number: int):
     return part
 
 
-def parts(text: Column, kinds: dict[str, str]) -> Column:
+def parts(text: Column, kinds: dict[str, str], hints: dict[str, str] | None = None) -> Column:
     """array<struct<kind, i, size, value>>: the parts of the text for each kind that occurs; those with odd i are matches, of the others value has the first and last characters.
 
-    Each pattern has two capturing groups that together are the match; in value they are divided by INNER.
+    Each pattern has two capturing groups that together are the match; in value they are divided by INNER. A kind's hint is a
+    simpler pattern that every text with a match has; a text without it is not searched.
     """
     text = F.coalesce(text, F.lit(""))
     text = F.when(text.contains(MARK) | text.contains(INNER), F.translate(text, MARK + INNER, STAND_IN * 2)).otherwise(text)
     none = F.array().cast("array<struct<kind:int,i:int,size:int,value:string>>")
     found = []
-    for number, pattern in enumerate(kinds.values()):
+    for number, (name, pattern) in enumerate(kinds.items()):
         marked = F.regexp_replace(text, pattern, f"{MARK}$1{INNER}$2{MARK}")
+        if hint := (hints or {}).get(name):
+            marked = F.when(text.rlike(hint), marked).otherwise("")
         found.append(F.when(marked.contains(MARK), F.transform(F.split(marked, MARK, -1), part_of(number))).otherwise(none))
     return F.concat(*found)
 
@@ -56,6 +62,18 @@ def matches(rows: DataFrame, keep: list[str], column: str = "parts") -> DataFram
     )
 
 
+def beaten(spans: DataFrame, weak: Column, beats: Callable[[Column, Column], Column]) -> DataFrame:
+    """row, kind and start of the weak spans that overlap another span of their row which beats them.
+
+    Spans meet in the cells of CELL characters that they touch, so that a text with very many spans costs about their number.
+    """
+    fields = F.struct(*[c for c in spans.columns if c != "row"])
+    cells = spans.withColumn("weak_", weak).withColumn("span_", fields).withColumn("cell_", F.explode(F.sequence(F.floor(F.col("start") / CELL), F.floor((F.col("end") - 1) / CELL))))
+    a, b = cells.where("weak_").select("row", "cell_", F.col("span_").alias("a")), cells.select("row", "cell_", F.col("span_").alias("b"))
+    meet = (F.col("a.start") < F.col("b.end")) & (F.col("b.start") < F.col("a.end"))
+    return a.join(b, ["row", "cell_"]).where(meet & beats(F.col("b"), F.col("a"))).select("row", "a.kind", "a.start").distinct()
+
+
 def joined(spans: Column, names: list[str]) -> Column:
     """kind:start:end of an array of structs, comma-joined in the array's order."""
     name = F.array(*[F.lit(n) for n in names])

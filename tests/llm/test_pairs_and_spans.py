@@ -198,11 +198,20 @@ def test_fingerprints_estimate_generalised_jaccard(spark):
     assert fingerprint.report(docs(spark, ["a"]).limit(0)).count() == 0
 
 
-def test_held_out_share_and_cut(spark):
+def test_held_out_share_and_stored_tables(spark):
     table = spark.range(5000).withColumnRenamed("id", "doc_id")
     share = table.where(common.held_out(table.doc_id)).count() / 5000
     assert 0.18 < share < 0.22
-    assert common.cut(table).count() == common.stored(table).count() == 5000
+    kept = common.stored(table)
+    assert kept.count() == 5000
+    common.forget(kept)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(kept.stored_at)
+
+
+def test_names_that_are_free(spark):
+    table = spark.createDataFrame([(1, 2, 3)], "key int, Key_ int, live int")
+    assert common.spare(table, "key", "live", "live", "other") == ["key__", "live_", "live__", "other"]
 
 
 @pytest.mark.parametrize("n", [0, 1, 7])
