@@ -6,7 +6,7 @@ digest, and carry their own block digest; identifiers derive from the response's
 that is repeated after a lost executor yields the same records. Records are made where the response is: no shuffle.
 
 Defined results: a null page is an empty one and gives two records with an empty title and text; a null URL
-is an empty target; broken mark-up never fails (what is no tag stays text); repeated rows give repeated
+is an empty target; broken mark-up never fails (what is no tag stays text, what never ends hides nothing) and costs one pass; repeated rows give repeated
 records; extra columns are not read.
 """
 
@@ -25,6 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.llm.common import released, text_batches, text_slices
+
+#: Extension fields of a derived record: the source's payload digest, and each of the source's HTTP header lines.
+SOURCE_DIGEST, SOURCE_HEADER = "WARC-Refers-To-Payload-Digest", "WARC-Refers-To-Header"
 #: The date of responses that bring none.
 DATE = "1970-01-01T00:00:00Z"
 FIELDS = {
@@ -32,32 +36,89 @@ FIELDS = {
     "content_type": "string", "content_length": "long", "block_digest": "string", "source_digest": "string", "source_headers": "string", "block": "string",
 }
 
-_hidden = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>")
+_opening = re.compile(r"(?i)<!--|<(script|style|noscript|template|head)\b")
 _breaks = re.compile(r"(?i)</?(?:p|div|br|hr|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|blockquote|pre)\b[^>]*>")
-_tags = re.compile(r"(?s)</?[A-Za-z!?][^>]*>")
-_title = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_lang = re.compile(r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)")
-_links = re.compile(r"(?i)<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_tags = re.compile(r"</?[A-Za-z!?][^>]*>")
+_title, _title_end = re.compile(r"(?i)<title\b[^>]*>"), re.compile(r"(?i)</title\s*>")
+_root, _lang = re.compile(r"(?i)<html\b"), re.compile(r"(?i)\blang\s*=\s*[\"']?([A-Za-z-]+)")
+_anchor, _target = re.compile(r"(?i)<a\b"), re.compile(r"(?i)(?<![\w-])href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _blank = re.compile(r"[^\S\n]+")
+#: Bytes of records that are handed on at once.
+BATCH_BYTES = 4_000_000
 
 
 def digest(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
 
 
+def shown(page: str) -> str:
+    """The page with a space for each comment and each hidden element; one that never ends hides nothing.
+
+    One pass: what has no end from here on has none later either, so it is looked for once.
+    """
+    out, at, kept, endless = [], 0, 0, set()
+    while m := _opening.search(page, at):
+        name = (m[1] or "--").lower()
+        end = -1
+        if name not in endless:
+            if name == "--":
+                end = page.find("-->", m.end())
+                end += 3 if end >= 0 else 0
+            elif close := re.compile(rf"(?i)</{name}\s*>").search(page, m.end()):
+                end = close.end()
+        if end < 0:
+            endless.add(name)
+            at = m.end()
+            continue
+        out += [page[kept : m.start()], " "]
+        at = kept = end
+    return "".join([*out, page[kept:]])
+
+
+def to_last_tag(page: str) -> tuple[str, str]:
+    """The page up to the last closing bracket, and the rest: in the first part every tag ends, so tags are found in one pass."""
+    end = page.rfind(">") + 1
+    return page[:end], page[end:]
+
+
 def plain_text(page: str) -> str:
     """The visible text of a page: one line for each block, white space collapsed, empty lines dropped."""
-    text = html.unescape(_tags.sub(" ", _breaks.sub("\n", _hidden.sub(" ", page))))
+    marked, rest = to_last_tag(shown(page))
+    text = html.unescape(_tags.sub(" ", _breaks.sub("\n", marked)) + rest)
     lines = (_blank.sub(" ", x).strip() for x in text.split("\n"))
     return "\n".join(x for x in lines if x)
 
 
+def tags(page: str, name: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Start and end of each tag that begins with the pattern and has an end."""
+    at = 0
+    while m := name.search(page, at):
+        at = page.find(">", m.end())
+        if at < 0:
+            return
+        yield m.end(), at
+
+
 def outlinks(page: str) -> list[str]:
-    """Distinct targets of the anchors outside scripts and comments, in order."""
-    found = (html.unescape(a or b or c).strip() for a, b, c in _links.findall(_hidden.sub(" ", page)))
+    """Distinct targets of the anchors outside scripts and comments, in order; of several targets in a tag the first counts."""
+    page, found = shown(page), []
+    for start, end in tags(page, _anchor):
+        if (m := _target.search(page, start)) and m.start() < end:
+            found.append(html.unescape(next(x for x in (*m.groups(), "") if x is not None)).strip())
     return list(dict.fromkeys(x for x in found if x))
 
 
+def title(page: str) -> str:
+    start = _title.search(to_last_tag(page)[0])
+    end = start and _title_end.search(page, start.end())
+    return " ".join(html.unescape(page[start.end() : end.start()]).split()) if end else ""
+
+
+def language(page: str) -> str:
+    found = (_lang.search(page, start, end) for start, end in tags(page, _root))
+    return next((m[1].lower() for m in found if m), "")
+
+
 def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(10).join(parts))}>"
 
@@ -65,9 +126,7 @@ def record_id(*parts: str) -> str:
 def derive(source_id: str, uri: str, date: str, headers: str, body: str) -> list[dict]:
     """The metadata and the conversion record of one response."""
     source_digest = digest(body.encode("utf-8", "replace"))
-    title = _title.search(body)
-    language = _lang.search(body)
-    fields = [("title", " ".join(html.unescape(title[1]).split()) if title else ""), ("language", language[1].lower() if language else ""), ("source-payload-digest", source_digest)]
+    fields = [("title", title(body)), ("language", language(body)), ("source-payload-digest", source_digest)]
     fields += [("outlink", x) for x in outlinks(body)] + [("source-header", x) for x in headers.splitlines() if x]
     blocks = {
         "metadata": ("application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields)),
@@ -102,22 +161,24 @@ def derivatives(source: DataFrame, key: str = "key") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(1, 6)]
-            for a in range(0, batch.num_rows, 256):
-                rows = [derive(*(x or "" for x in row)) for row in zip(*(c[a : a + 256] for c in columns), strict=True)]
-                keys = batch.column(0).slice(a, 256).take(pa.array([i for i in range(len(rows)) for _ in range(2)]))
-                flat = [r for pair in rows for r in pair]
+            for a, b, bodies in text_slices(batch.column(5)):
+                others = [batch.column(i).slice(a, b - a).to_pylist() for i in range(1, 5)]
+                flat = [r for row in zip(*others, bodies, strict=True) for r in derive(*(x or "" for x in row))]
+                keys = batch.column(0).slice(a, b - a).take(pa.array([i for i in range(b - a) for _ in range(2)], pa.int64()))
                 yield pa.RecordBatch.from_arrays([keys, *(pa.array([r[f] for r in flat], pa.int64() if t == "long" else pa.string()) for f, t in FIELDS.items())], names=[key, *FIELDS])
 
     kind = source.schema[key].dataType.simpleString()
-    return source.select(key, "record_id", "target_uri", "warc_date", "headers", "body").mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{f} {t}" for f, t in FIELDS.items()))
+    rows = text_batches(source.select(key, "record_id", "target_uri", "warc_date", "headers", "body"))
+    return rows.mapInArrow(lambda batches: released(run(batches)), f"`{key}` {kind}, " + ", ".join(f"{f} {t}" for f, t in FIELDS.items()))
 
 
 def serialise(r: dict) -> bytes:
     """One record in WARC/1.1 form."""
     raw = r["block"].encode("utf-8", "replace")
     lines = ["WARC/1.1", f"WARC-Type: {r['record_type']}", f"WARC-Record-ID: {r['record_id']}", f"WARC-Date: {r['warc_date']}", f"WARC-Target-URI: {r['target_uri']}"]
-    lines += [f"WARC-Refers-To: {r['refers_to']}"] if r["refers_to"] else []
+    if r["refers_to"]:
+        lines += [f"WARC-Refers-To: {r['refers_to']}", f"WARC-Refers-To-Target-URI: {r['target_uri']}", f"WARC-Refers-To-Date: {r['warc_date']}"]
+    lines += [f"{SOURCE_DIGEST}: {r['source_digest']}", *(f"{SOURCE_HEADER}: {x.strip()}" for x in r["source_headers"].splitlines() if x.strip())]
     lines += [f"WARC-Block-Digest: {r['block_digest']}", f"Content-Type: {r['content_type']}", f"Content-Length: {len(raw)}"]
     return "\r\n".join(lines).encode("utf-8", "replace") + b"\r\n\r\n" + raw + b"\r\n\r\n"
 
@@ -126,37 +187,49 @@ def members(records: DataFrame) -> DataFrame:
     """record_id and a gzip member for every record; members put one after another are a .warc.gz file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = list(FIELDS).index("block")
         for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([r["record_id"] for r in rows], pa.string()), pa.array([gzip.compress(serialise(r), mtime=0) for r in rows], pa.binary())], names=["record_id", "member"])
+            for a, b, _ in text_slices(batch.column(at)):
+                rows = batch.slice(a, b - a).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array([r["record_id"] for r in rows], pa.string()), pa.array([gzip.compress(serialise(r), mtime=0) for r in rows], pa.binary())], names=["record_id", "member"])
 
-    return records.select(*FIELDS).mapInArrow(run, "record_id string, member binary")
+    return text_batches(records.select(*FIELDS)).mapInArrow(run, "record_id string, member binary")
 
 
 def parse(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """The headers (names in lower case) and the block of each record of a file, compressed or not."""
-    stream = io.BytesIO(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw)
+    """The headers (names in lower case, repeated ones one a line) and the block of each record of a file, compressed or not, one after another."""
+    stream = gzip.GzipFile(fileobj=io.BytesIO(raw)) if raw[:2] == b"\x1f\x8b" else io.BytesIO(raw)
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
             continue
         headers: dict[str, str] = {}
         while (line := stream.readline().rstrip(b"\r\n")):
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            headers[name.strip().lower()] = value.strip()
+            name, _, value = (x.strip() for x in line.decode("utf-8", "replace").partition(":"))
+            name = name.lower()
+            headers[name] = f"{headers[name]}\n{value}" if name in headers else value
         yield headers, stream.read(int(headers.get("content-length", "0") or 0))
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """The responses of WARC files (a file is one task's work), with their own identifiers, dates and HTTP headers."""
+    """The responses of WARC files (a file is one task's work), with their own identifiers, dates and HTTP headers.
+
+    A file is held compressed and unpacked record by record; about BATCH_BYTES of records are handed on at once.
+    """
+    names = ["key", "record_id", "target_uri", "warc_date", "headers", "body"]
+    pack = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(6)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                rows = []
-                for h, block in parse(raw):
+            for i in range(batch.num_rows):
+                rows, held = [], 0
+                for h, block in parse(batch.column(0)[i].as_py()):
                     if h.get("warc-type") == "response":
                         head, _, body = block.partition(b"\r\n\r\n")
                         rows.append((h.get("warc-record-id", ""), h.get("warc-record-id", ""), h.get("warc-target-uri", ""), h.get("warc-date", DATE), head.decode("utf-8", "replace").replace("\r\n", "\n"), body.decode("utf-8", "replace")))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(6)], names=["key", "record_id", "target_uri", "warc_date", "headers", "body"])
+                        held += len(block)
+                    if held > BATCH_BYTES:
+                        yield pack(rows)
+                        rows, held = [], 0
+                yield pack(rows)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "key string, record_id string, target_uri string, warc_date string, headers string, body string")
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, ", ".join(f"{n} string" for n in names))
