@@ -8,7 +8,11 @@ if a window has enough equal tokens.
 
 The documents' side stays in one pass: the hash array of a document stays beside the generated
 positions, and hits are verified in place, so only verified hits are shuffled. The items' seeds are
-broadcast up to a checked count; beyond it they are joined by a shuffle.
+broadcast up to a checked count; beyond it (document, place, seed) rows are shuffled without the arrays, a seed that many
+documents hold is dealt anew by adaptive execution, and only documents with a hit get their arrays back.
+
+An item of 9 tokens or more is found whatever one token of any 13 is changed, and with two changed in every 13 unless they fall on all masks
+of all its spans.
 
 Defined results: null or token-free texts are clean; items without tokens match nothing; items with
 fewer tokens than a span need all of their tokens, in order; equal items count each; a repeated id
@@ -24,6 +28,8 @@ from kinweave.llm.common import row_key, stored
 
 #: 1: the token counts, 0: it is ignored.
 MASKS = ("110110011", "101101101", "111001011")
+#: Used only where an item has exactly a span's tokens: with MASKS, each of them is ignored by some mask.
+ENDS = ("011111111", "111111110")
 #: Windows of so many tokens, of which so many must be equal (two substitutions).
 WINDOW, EQUAL = 13, 11
 #: Seeds are broadcast up to this count (24 bytes each).
@@ -59,31 +65,34 @@ def overlap(doc: Column, item: Column, item_at: Column, shift: Column, item_n: C
     return F.array_max(F.transform(F.sequence(F.least(first, last), last), window))
 
 
-def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """id and item_ids, an ordered array, for every document that an item contaminates."""
     bench = items.select(F.col(item_col).alias("item"), tokens(F.col(item_text).cast("string")).alias("h")).withColumn("n", F.size("h")).where("n > 0")
     bench = stored(bench.groupBy("h", "n").agg(F.sort_array(F.collect_set("item")).alias("items")).withColumn("k", F.monotonically_increasing_id()))
     span = len(MASKS[0])
-    short = [r.n for r in bench.where(F.col("n") < span).select("n").distinct().collect()]  # at most span - 1 values
-    masks = [*MASKS, *["1" * n for n in sorted(short)]]
+    sizes = [r.n for r in bench.where(F.col("n") <= span).select("n").distinct().collect()]  # at most span values
+    masks = [*MASKS, *(ENDS if span in sizes else ()), *["1" * n for n in sorted(sizes) if n < span]]
     keyed = seeds(bench, masks).where((F.col("n") >= span) | (F.col("at") == 0)).select("key", "k", F.col("at").alias("item_at")).distinct()
     keyed = stored(keyed)
-    small = keyed.count() <= BROADCAST_SEEDS
     named = bench.select("k", F.col("h").alias("item_h"), F.col("n").alias("item_n"))
-    wrap = F.broadcast if small else (lambda x: x)
     text = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col).cast("string")).alias("h")).withColumn("n", F.size("h")).where("n > 0")
-    hits = seeds(text, masks).join(wrap(keyed), "key").join(wrap(named), "k")
+    if keyed.count() <= broadcast_seeds:
+        hits = seeds(text, masks).join(F.broadcast(keyed), "key").join(F.broadcast(named), "k")
+    else:  # only places and keys are shuffled; hit documents get their tokens back
+        text = stored(text.withColumn("row", F.monotonically_increasing_id()))
+        thin = seeds(text, masks).select("row", "at", "key").join(keyed, "key").select("row", "at", "k", "item_at")
+        hits = thin.join(text.select("row", "id", "h"), "row").join(named, "k")
     equal = overlap(F.col("h"), F.col("item_h"), F.col("item_at"), F.col("at") - F.col("item_at"), F.col("item_n"))
-    needed = F.when(F.col("item_n") >= WINDOW, EQUAL).otherwise(F.ceil(F.col("item_n") * EQUAL / WINDOW))
+    needed = F.when(F.col("item_n") >= WINDOW, EQUAL).when(F.col("item_n") < span, F.col("item_n")).otherwise(F.ceil(F.col("item_n") * EQUAL / WINDOW))
     found = hits.where(equal >= needed).select("id", "k").distinct()
     lists = found.join(bench.select("k", "items"), "k").groupBy("id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("item_ids"))
     return lists.select(F.col("id").alias(id_col), "item_ids")
 
 
-def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns: str) -> DataFrame:
+def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
     """id, contaminated, n_items and item_ids (comma-joined) for every row of docs."""
-    keyed = docs.withColumn("key_", row_key(id_col, text_col))
-    found = scan(keyed, items, "key_", text_col, **columns)
+    keyed = docs.select(F.col(id_col), F.col(text_col).alias("text_"), row_key(id_col, text_col).alias("key_"))
+    found = scan(keyed, items, "key_", "text_", **columns)
     out = keyed.select(id_col, "key_").join(found, "key_", "left")
     return out.select(
         id_col,

@@ -61,11 +61,12 @@ SPACED_SEEDS = r"""
 WITH masks(m, mask) AS (
   SELECT i, (['110110011', '101101101', '111001011'])[i] FROM range(1, 4) t(i)
   UNION ALL SELECT 3 + i, repeat('1', i::INT) FROM range(1, 9) t(i)
+  UNION ALL SELECT 11 + i, (['011111111', '111111110'])[i] FROM range(1, 3) t(i)
 ), items AS (
   SELECT item_id, w, len(w) AS n FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark)
 ), docs AS (
   SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents)
-), used AS (SELECT * FROM masks WHERE m <= 3 OR length(mask) IN (SELECT n FROM items)),
+), used AS (SELECT * FROM masks WHERE m <= 3 OR length(mask) IN (SELECT n FROM items)),  -- the last two only for items of nine
 item_seeds AS MATERIALIZED (
   SELECT item_id, i, m || ':' || array_to_string(list_filter(list_transform(range(1, length(mask) + 1), lambda k: CASE WHEN mask[k] = '1' THEN w[i + k] END), lambda x: x IS NOT NULL), ' ') AS key
   FROM (SELECT *, unnest(range(0, n)) AS i FROM items) x JOIN used ON i + length(mask) <= n AND (n >= 9 OR i = 0)
@@ -80,7 +81,7 @@ item_seeds AS MATERIALIZED (
   FROM hits h JOIN items t USING (item_id) JOIN docs d USING (doc_id)
 ), found AS (
   SELECT DISTINCT doc_id, item_id FROM windows
-  WHERE len(list_filter(range(s, s + width), lambda j: shift + j >= 0 AND dw[shift + j + 1] = tw[j + 1])) >= CASE WHEN n >= 13 THEN 11 ELSE ceil(n * 11 / 13) END
+  WHERE len(list_filter(range(s, s + width), lambda j: shift + j >= 0 AND dw[shift + j + 1] = tw[j + 1])) >= CASE WHEN n >= 13 THEN 11 WHEN n < 9 THEN n ELSE ceil(n * 11 / 13) END
 ), lists AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS item_ids FROM found GROUP BY doc_id)
 SELECT d.doc_id, l.doc_id IS NOT NULL AS contaminated, coalesce(l.n, 0)::BIGINT AS n_items, coalesce(l.item_ids, '') AS item_ids
 FROM documents d LEFT JOIN lists l USING (doc_id)
