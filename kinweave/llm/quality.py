@@ -1,14 +1,15 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
 A text's counts are hashed byte trigrams, trigrams of character classes and binned shares (capitals,
-marks, repeated words, distinct words). The labelled sample's tf-idf matrix is factored, and its rows, projected to COMPONENTS
+marks, repeated words, distinct words; length). The labelled sample's tf-idf matrix is factored, and its rows, projected to COMPONENTS
 dimensions, are broadcast. Every document's cosine to every labelled row is computed exactly, in blocks, and
 its NEIGHBOURS nearest vote with their similarity to the power of SHARPNESS.
 
 The labelled sample is bounded: about PER_CLASS rows of each label, chosen by a hash of the id among rows that are not
 held out; so the broadcast has at most about 2 x PER_CLASS rows. Every document is scored.
 
-Defined results: null and empty texts, and all texts where nothing is labelled, get 0.5; rows with several
+Defined results: null texts are empty; an empty text has only its length, so that the shortest labelled texts vote on it; a text without a similar one gets the
+sample's share of label 1, and where nothing is labelled, every text 0.5; rows with several
 labels count with the larger one; null labels are ignored; repeated rows give repeated rows; extra
 columns are not read.
 """
@@ -23,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import held_out, text_slices
+from kinweave.llm.common import held_out, released, text_batches, text_slices
 
 PER_CLASS, NEIGHBOURS, COMPONENTS, SHARPNESS = 1500, 15, 48, 8
 SHAPES, GRAMS, BINS = 512, 1536, 8
-SHARES = 4
+SHARES = 5
 WIDTH = SHAPES + GRAMS + SHARES * BINS
 ROWS = 256
 
@@ -59,6 +60,8 @@ def counts(texts: list[str | None]) -> np.ndarray:
         k = _class[b]
         upper, marks = (np.bincount(doc, x, len(raw)) / np.maximum(size, 1) for x in (k == 2, k >= 8))
         for i, r in enumerate(raw):
+            length = SHAPES + GRAMS + 4 * BINS
+            block[i, length : length + 1 + min(BINS - 1, len(r).bit_length() // 2)] = 20  # a short text's are among a longer one's
             if words := r.split():
                 again = sum(map(bytes.__eq__, words, words[1:])) / len(words)
                 for j, share in enumerate((upper[i], marks[i], again, 1 - len(set(words)) / len(words))):
@@ -93,8 +96,7 @@ class Space:
             weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** SHARPNESS
             total = weight.sum(axis=1)
             vote = (weight * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
-            full = np.array([bool(t) for t in part]) & (total > 0)
-            out[a : a + len(part)] = np.where(full, vote, 0.5)
+            out[a : a + len(part)] = np.where(total > 0, vote, self.labels.mean())
         return np.clip(out, 0, 1)
 
 
@@ -125,12 +127,13 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = np.minimum(counts(batch.column(0).to_pylist()), 65535).astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([r.tobytes() for r in c], pa.binary())], names=["id", "label", "counts"])
+            for a, b, texts in text_slices(batch.column(0)):
+                c = counts(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array([r.tobytes() for r in c], pa.binary())], names=["id", "label", "counts"])
 
     kind = rows.schema["id_"].dataType.simpleString()
-    got = sorted(rows.select("text_", "id_", "label_").mapInArrow(run, f"id {kind}, label int, counts binary").collect(), key=lambda r: (r[0], r[2]))
-    c = np.stack([np.frombuffer(bytes(r[2]), np.uint16) for r in got]).astype(np.float32) if got else np.zeros((0, WIDTH), np.float32)
+    got = sorted(text_batches(rows.select("text_", "id_", "label_")).mapInArrow(run, f"id {kind}, label int, counts binary").collect(), key=lambda r: (r[0], r[2]))
+    c = np.stack([np.frombuffer(bytes(r[2]), np.float32) for r in got]) if got else np.zeros((0, WIDTH), np.float32)
     return fit(c, np.array([min(1, max(0, r[1])) for r in got], np.float64))
 
 
@@ -144,4 +147,5 @@ def score(documents: DataFrame, space: Space, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(shared.value.score(texts), pa.float64())], names=[id_col, "score"])
 
     kind = documents.schema[id_col].dataType.simpleString()
-    return documents.select(id_col, F.col(text_col).cast("string").alias("text_")).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    rows = text_batches(documents.select(id_col, F.col(text_col).cast("string").alias("text_")))
+    return rows.mapInArrow(lambda batches: released(run(batches)), f"`{id_col}` {kind}, score double")

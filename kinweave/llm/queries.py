@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from kinweave.llm import decontaminate, fingerprint, language_id, licenses, near_dedup, oracles, pii, quality, secrets, sentencepiece_bpe, warc
 from kinweave.llm.common import held_out, read
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("KINWEAVE_TOKENIZERS", "/opt/tokenizers")
 
+def sentencepiece_model(name: str = "piece_bpe_32k.model") -> str:
+    """The place of a public tokenizer's file; KINWEAVE_TOKENIZERS may name another folder."""
+    if folder := os.environ.get("KINWEAVE_TOKENIZERS"):
+        return f"{folder}/{name}"
+    import public_tokenizers
 
-def sentencepiece_model() -> str:
-    return f"{TOKENIZERS}/piece_bpe_32k.model"
+    return str(public_tokenizers.path(name))
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
