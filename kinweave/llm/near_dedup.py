@@ -6,12 +6,14 @@ j, a value in [j, j+1) for its j-th place; a document stops at the first level a
 filled. Bands of the signature propose candidates, full sets confirm them, union-find groups them.
 
 Equal sets are one class from the start, so that copies cost a sum, not pairs. Inside a bucket of a
-band, every class is held against one pivot p, the class that shares most buckets. For classes x and y
-of the bucket that are then in different components, |x & y| is at most min(|x & p|, |y & p|) plus
-the items that x and y share outside p. So a link needs either enough of p in both, or a shared item among the
-first few, by hash, of what x and y have outside p (the prefix filter for that part). Only pairs
-that pass one of these tests are held against each other, on full sets. A bucket of near copies,
-or of texts with a common passage, thus costs about its size, and no partner is capped.
+band, every class is first held against one pivot, the class that shares most buckets. Buckets with classes that are then still in different
+components are sifted around a core, the items that most of the bucket's classes have. With D(x) as what x and the core differ
+in, x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| items. So slack(x) = (100 - percent) |x| - (100 + percent) |D(x)| says all:
+two classes whose slacks sum to 0 or more are linked, hence each of them with the class of the largest slack, an edge for each class; other classes
+can only be linked if D(x) and D(y) share enough items, hence one of their first ones, own items before those of the core (a prefix filter). Classes
+that share such an item are the next, smaller buckets; small ones are compared pair by pair, on full sets, large ones sifted again around a core of their own.
+Nothing is lost within a bucket whatever the core is, and no partner is capped. A bucket of near copies or of texts with a common passage thus
+costs about its size, whether or not its classes reach the threshold among each other.
 
 Defined results: null or blank texts have an empty set, link with nothing and are kept; rows with
 a null id link with nothing and have a null component; rows that share an id are one document, so what one of them links with is
@@ -35,6 +37,8 @@ SHINGLE_WORDS = 5
 #: 16 bands of 4 places: of pairs with similarity 0.85, fewer than one in 100,000 share no band.
 PLACES, BANDS = 64, 16
 PERCENT = 85
+#: Sets that a core is made of, about; cells of so many classes or fewer are compared pair by pair; rounds of sifting.
+CORE_SETS, SMALL_CELL, ROUNDS = 32, 8, 4
 BLOCK_SHINGLES = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -173,33 +177,70 @@ def similar(both: Column, n: Column, m: Column, percent: int) -> Column:
     return 100 * both >= percent * (n + m - both)
 
 
-def against_pivots(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (u, v, least_n) with n, common (with the pivot v), linked, and the prefix of what u has outside v."""
-    n, common = F.size("a"), F.size(F.array_intersect("a", "b"))
-    least = F.greatest(F.col("least_n"), F.ceil(n * percent / 100))
-    needed = F.ceil(percent * (n + least) / (100 + percent))  # items that a partner of u shares with it, at least
-    beyond = F.sort_array(F.array_except("a", "b"))
-    prefix = F.slice(beyond, 1, F.greatest(n - needed + 1, F.lit(0)).cast("int"))
-    return together(pairs, sets).select("u", "v", n.alias("n"), common.alias("common"), similar(common, n, F.size("b"), percent).alias("linked"), prefix.alias("prefix"))
-
-
-def remaining(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) of classes under one pivot that are in different components and may still be linked."""
-    name = labels.select(F.col("node").alias("u"), F.col("component").alias("label"))
-    top = labels.select(F.col("node").alias("v"), F.col("component").alias("top"))
-    held = held.join(name, "u", "left").join(top, "v", "left").withColumn("label", F.coalesce("label", "u")).withColumn("loose", F.col("label") != F.coalesce("top", "v"))
-    held = stored(held.select("u", "v", "n", "common", "prefix", "label", "loose"))
-    open_ = stored(held.where("loose").select("v").distinct())
-    held = stored(held.join(open_, "v"))
-    columns = lambda df, i: df.select("v", *[x for x in ("item",) if x in df.columns], *[F.col(c).alias(f"{c}{i}") for c in ("u", "n", "common", "label")])
-    apart = (F.col("label1") != F.col("label2")) & fits(F.col("n1"), F.col("n2"), percent)
-    items = held.withColumn("item", F.explode("prefix"))
-    shared = columns(items.where("loose"), 1).join(columns(items, 2), ["v", "item"]).where(apart)
-    covered = held.where(100 * F.col("common") >= percent * F.col("n"))
-    enough = (100 + percent) * F.least("common1", "common2") >= percent * (F.col("n1") + F.col("n2"))
-    inside = columns(covered.where("loose"), 1).join(columns(covered, 2), "v").where(apart & enough)
-    pairs = shared.select("u1", "u2").unionByName(inside.select("u1", "u2"))
-    return stored(pairs.select(F.greatest("u1", "u2").alias("u"), F.least("u1", "u2").alias("v")).distinct())
+def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """g, u, slack and delta (what u and the core of g differ in, in one order for all of g) of the members (g, u).
+
+    The core holds the items of more than half of about CORE_SETS sets of g, drawn by a hash: any core is right, a typical one makes deltas short.
+    """
+    sizes = members.groupBy("g").agg(F.count("*").alias("size"))
+    draw = F.pmod(F.xxhash64(F.lit("core"), "u"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    own = sets.select(F.col("id").alias("u"), "items")
+    drawn = members.join(sizes, "g").where(draw < F.lit(float(CORE_SETS)) / F.col("size")).join(own, "u")
+    cores = drawn.groupBy("g").agg(F.sort_array(F.flatten(F.collect_list("items"))).alias("all"), (F.floor(F.count("*") / 2) + 1).cast("int").alias("most"))
+    held = F.filter("all", lambda x, i: (F.get("all", i + F.col("most") - 1) == x) & ~F.coalesce(F.get("all", i - 1) == x, F.lit(False)))
+    cores = stored(cores.select("g", held.alias("core")))
+    both = members.join(cores, "g", "left").join(own, "u").withColumn("core", F.coalesce("core", F.array().cast("array<long>")))
+    # a class's own items come first: few classes have them, while many lack the same items of the core
+    delta = F.concat(F.sort_array(F.array_except("items", "core")), F.sort_array(F.array_except("core", "items")))
+    both = both.select("g", "u", F.size("items").cast("long").alias("n"), delta.alias("delta"))
+    return both.select("g", "u", ((100 - percent) * F.col("n") - (100 + percent) * F.size("delta")).alias("slack"), "delta")
+
+
+def labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
+    return df.join(labels.select(F.col("node").alias("u"), "component"), "u", "left").withColumn("label", F.coalesce("component", "u")).drop("component")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that are linked by their full sets."""
+    both = together(pairs, sets)
+    return both.where(similar(F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"), percent)).select("u", "v")
+
+
+def all_pairs(cells: DataFrame) -> DataFrame:
+    """Distinct pairs (u, v) of members (g, u, label, slack, first, second) with different labels: one that may be first and one, of no larger slack, that may be second."""
+    left, right = (cells.where(role).select("g", *[F.col(c).alias(f"{c}{i}") for c in ("u", "label", "slack")]) for i, role in ((1, "first"), (2, "second")))
+    ordered = (F.col("slack1") > F.col("slack2")) | ((F.col("slack1") == F.col("slack2")) & (F.col("u1") > F.col("u2")))
+    apart = left.join(right, "g").where((F.col("label1") != F.col("label2")) & ordered)
+    return apart.select(F.greatest("u1", "u2").alias("u"), F.least("u1", "u2").alias("v")).distinct()
+
+
+def sifted(members: DataFrame, sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
+    """edges, and what else links the members (g, u) of the same group."""
+    for _ in range(ROUNDS):
+        if not members.limit(1).count():
+            return edges
+        diff = stored(differences(members, sets, percent))
+        top = stored(diff.groupBy("g").agg(F.max(F.struct("slack", "u")).alias("t")).select("g", F.col("t.slack").alias("best"), F.col("t.u").alias("top")))
+        diff = diff.join(top, "g")
+        edges = stored(edges.unionByName(diff.where("u != top and slack + best >= 0").select("u", F.col("top").alias("v")).distinct()))
+        loose = F.col("slack") + F.col("best") < 0
+        # The fewest items of delta that two linked classes share follows from the sum of their slacks. The class with the larger slack
+        # meets no larger one than its own (or, if linked with the best one, only loose ones), the other one's partner is at most the best.
+        fewest = lambda total: F.ceil(-total / (2 * (100 + percent)))
+        first = fewest(F.when(loose, 2 * F.col("slack")).otherwise(F.col("slack") - F.col("best") - 1))
+        second = fewest(F.col("slack") + F.col("best"))
+        diff = diff.select("g", "u", "slack", loose.alias("second"), (F.size("delta") - first).alias("last"), F.slice("delta", 1, F.greatest(F.size("delta") + 1 - F.when(loose, second).otherwise(first), F.lit(0)).cast("int")).alias("prefix"))
+        cells = diff.select("g", "u", "slack", "second", "last", F.posexplode("prefix").alias("at", "item"))
+        cells = cells.select("u", "slack", "second", (F.col("at") <= F.col("last")).alias("first"), F.xxhash64("g", "item").alias("g"))
+        cells = stored(labelled(cells, components(edges)))
+        open_ = cells.groupBy("g").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("b"), F.max("first").alias("f"), F.max("second").alias("s")).where("a != b and f and s")
+        open_ = stored(open_.select("g", "size"))
+        cells = cells.join(open_, "g")
+        found = confirmed(all_pairs(cells.where(F.col("size") <= SMALL_CELL)), sets, percent)
+        edges = stored(edges.unionByName(found))
+        members = stored(cells.where(F.col("size") > SMALL_CELL).select("g", "u").distinct())
+    left = labelled(members, components(edges)).select("g", "u", "label", F.lit(0).alias("slack"), F.lit(True).alias("first"), F.lit(True).alias("second"))
+    return stored(edges.unionByName(confirmed(all_pairs(left), sets, percent)))
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -216,7 +257,6 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     weighed = stored(members.join(weight, "rep").select("bucket", "rep", "n", "weight"))
     pivots = stored(weighed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("p")).select("bucket", (-F.col("p.minus")).alias("v")))
     pairs = stored(weighed.join(pivots, "bucket").select(F.col("rep").alias("u"), "v", "n").distinct())
-    least = stored(pairs.groupBy("v").agg(F.min("n").alias("least_n")))
     need = stored(weighed.select("rep").distinct().join(classes.select("rep", "key", "id"), "rep"))
     n_need = need.count()
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text_"))
@@ -224,7 +264,9 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     sets = semi_by_id(sets_of(texts, "id", "text_"), need.select("key", F.col("rep").alias("id")), n_need, "key", "inner")
     sets = stored(sets.select("id", "items").dropDuplicates(["id"]))
     forget(members, weight, weighed, buckets, pivots)
-    held = stored(against_pivots(pairs.where("u != v").join(least, "v").select("u", "v", "least_n"), sets, percent))
+    pairs = pairs.select("u", "v")
+    linked = similar(F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"), percent)
+    held = stored(together(pairs.where("u != v"), sets).select("u", "v", linked.alias("linked")))
     # rows that share an id are one document: their classes hang together
     several = named.join(classes.select("key", "rep"), "key").groupBy("id").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v < most")
     several = stored(several.select("id", "v"))
@@ -234,11 +276,12 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
         edges = edges.unionByName(shared.select("u", "v"))
     edges = stored(edges)
     labels = components(edges)
-    rest = together(remaining(held, labels, percent), sets)
-    found = stored(rest.where(similar(F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"), percent)).select("u", "v"))
-    if found.limit(1).count():
-        labels = components(edges.unionByName(found))
-    forget(sets, held, pairs, least, need, several)
+    apart = labelled(held.where("not linked"), labels).withColumnRenamed("label", "own").withColumnRenamed("u", "w").withColumnRenamed("v", "u")
+    apart = stored(labelled(apart, labels).where("own != label").select(F.col("u").alias("v")).distinct())
+    if apart.limit(1).count():
+        members = stored(pairs.join(apart, "v").select(F.col("v").alias("g"), "u"))
+        labels = components(sifted(members, sets, edges, percent))
+    forget(sets, held, need, several)
     marked = classes.select("key", "rep", "id").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     smallest = marked.groupBy("component").agg(F.min("id").alias("component_id"))
     marked = stored(marked.join(smallest, "component").select("key", "component_id"))

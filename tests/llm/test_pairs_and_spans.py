@@ -27,7 +27,7 @@ def shingles(text):
     return {b" ".join(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {b" ".join(w)} if w else set()
 
 
-def brute_components(texts):
+def brute_components(texts, percent=85):
     sets = [shingles(t) for t in texts]
     label = list(range(len(texts)))
 
@@ -39,7 +39,7 @@ def brute_components(texts):
     for i in range(len(sets)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 a, b = root(i), root(j)
                 label[max(a, b)] = min(a, b)
     return sets, [root(i) for i in range(len(texts))]
