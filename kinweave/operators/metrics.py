@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BETA = 0.5
+#: Ranges of scores that are ordered separately.
+SCORE_BINS = 4096
 
 
 def f_beta(tp: Column, fp: Column, fn: Column, beta: float, empty: Column) -> Column:
@@ -80,12 +82,19 @@ def evaluation_summary(matches: DataFrame, truth: DataFrame, beta: float = BETA)
 def average_precision(df: DataFrame, score: str = "cal_prob", label: str = "label") -> DataFrame:
     """average_precision (step-wise) and roc_auc, one row; 0 where only one class is present.
 
-    Counts are summed per distinct score before the one ordered pass, which sees distinct scores only.
+    Counts are summed per distinct score, then per one of SCORE_BINS ranges of scores: the one pass over all sees the ranges' sums only,
+    and each range is ordered by itself.
     """
     per = df.groupBy(F.round(score, 9).alias("s")).agg(F.count("*").alias("n"), F.sum((F.col(label) == 1).cast("long")).alias("pos"))
-    down = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    every = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    run = per.select("pos", "n", F.sum("pos").over(down).alias("tp"), F.sum("n").over(down).alias("at"), F.sum("pos").over(every).alias("p"), F.sum("n").over(every).alias("all"))
+    per = per.withColumn("bin", F.floor(F.greatest(F.least("s", F.lit(1.0)), F.lit(0.0)) * SCORE_BINS).cast("int"))
+    every = Window.orderBy(F.desc("bin"))
+    above = every.rowsBetween(Window.unboundedPreceding, -1)
+    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    zero = F.lit(0).cast("long")
+    bins = per.groupBy("bin").agg(F.sum("pos").alias("bin_pos"), F.sum("n").alias("bin_n"))
+    bins = bins.select("bin", F.coalesce(F.sum("bin_pos").over(above), zero).alias("tp_above"), F.coalesce(F.sum("bin_n").over(above), zero).alias("n_above"), F.sum("bin_pos").over(whole).alias("p"), F.sum("bin_n").over(whole).alias("all"))
+    down = Window.partitionBy("bin").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    run = per.join(F.broadcast(bins), "bin").select("pos", "n", (F.col("tp_above") + F.sum("pos").over(down)).alias("tp"), (F.col("n_above") + F.sum("n").over(down)).alias("at"), "p", "all")  # SCORE_BINS + 1 bins at most
     area = F.sum((F.col("n") - F.col("pos")) * (F.col("tp") - F.col("pos") / 2))
     out = run.agg(F.sum(F.col("pos") * F.col("tp") / F.col("at")).alias("ap"), area.alias("area"), F.max("p").alias("p"), F.max("all").alias("all"))
     ok = (F.col("p") > 0) & (F.col("p") < F.col("all"))

@@ -24,6 +24,54 @@ from kinweave.operators import model as matching
 from kinweave.sources import tables
 
 
+#: The settings of a file with sections, by their path, and the parameter that each one sets.
+SECTIONS = {
+    "paths.source1": "source1", "paths.source2": "source2", "paths.source3": "source3", "paths.ground_truth": "ground_truth",
+    "paths.candidate_pairs": "candidate_pairs", "paths.matching_results": "matching_results", "paths.model_dir": "model_dir", "paths.cache_dir": "cache_dir",
+    "preprocessing.min_token_freq": "min_token_freq", "preprocessing.top_k_substitutions": "top_k_substitutions",
+    "blocking.top_n_per_entity": "top_n_per_entity", "blocking.tfidf.max_features": "max_features", "blocking.tfidf.top_k": "tfidf_top_k",
+    "blocking.semantic.top_k": "semantic_top_k", "blocking.semantic.faiss_index_type": "index_type",
+    "features.number_veto.pin_regex": "pin_regex", "features.number_veto.street_num_regex": "street_num_regex",
+    "features.competition_features.enabled": "competition_features", "features.transitivity_features.enabled": "transitivity_features", "features.transitivity_features.max_pairs": "max_pairs",
+    "model.cv_n_splits": "cv_n_splits", "model.xgboost.n_estimators": "max_iter", "model.xgboost.max_depth": "max_depth", "model.xgboost.learning_rate": "learning_rate",
+    "postprocessing.constraint_resolution.enabled": "constraint_resolution", "postprocessing.f05_optimization.beta": "beta",
+}
+#: Settings of such files that this engine has with one value only; another value is an error, not ignored.
+ONLY = {
+    "preprocessing.lowercase": True, "preprocessing.strip_accents": True, "preprocessing.remove_punctuation": True, "preprocessing.expand_abbreviations": True,
+    "blocking.tfidf.analyzer": "char_wb", "blocking.tfidf.ngram_range": [2, 4], "blocking.semantic.normalize_embeddings": True,
+    "features.jaro_winkler_prefix_weight": 0.1, "features.number_veto.enabled": True, "model.cv_group_col": "source1_entity_id",
+    "model.xgboost.subsample": 0.8, "model.xgboost.colsample_bytree": 0.8, "model.xgboost.min_child_weight": 5, "model.xgboost.scale_pos_weight": 10, "model.xgboost.random_state": 42,
+    "model.calibration.method": "isotonic", "postprocessing.f05_optimization.enabled": True, "seed": 42,
+}
+#: Settings that have no effect on results here (folders that others repeat, sizes and names of another library's objects).
+WITHOUT_EFFECT = {
+    "paths.data_dir", "paths.output_dir", "blocking.semantic.model_name", "blocking.semantic.batch_size", "features.competition_features.similarity_col",
+    "model.xgboost.objective", "model.xgboost.eval_metric", "model.xgboost.tree_method", "postprocessing.f05_optimization.prob_grid_steps", "n_jobs",
+}
+
+
+def flattened(values: dict) -> dict:
+    """A file's settings by parameter: those of a file with sections are translated, others stay."""
+    out: dict = {}
+
+    def walk(node: dict, path: str) -> None:
+        for key, value in node.items():
+            name = f"{path}{key}"
+            if name in SECTIONS:
+                out[SECTIONS[name]] = value
+            elif name in ONLY:
+                if value != ONLY[name]:
+                    raise ValueError(f"{name} can only be {ONLY[name]}")
+            elif isinstance(value, dict):
+                walk(value, f"{name}.")
+            elif name not in WITHOUT_EFFECT:
+                out[name] = value
+
+    walk(values, "")
+    return out
+
+
 @dataclass(frozen=True)
 class Config:
     """Paths and parameters; a JSON (or, where a reader is installed, YAML) file may set any of them."""
@@ -70,6 +118,7 @@ class Config:
                 values = yaml.safe_load(f)
             else:
                 values = json.load(f)
+        values = flattened(values or {})
         known = {f.name for f in fields(cls)}
         if unknown := set(values) - known:
             raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
