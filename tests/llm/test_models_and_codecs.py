@@ -79,7 +79,7 @@ def test_quality_held_out(spark):
     got = {x.doc_id: x.score for x in quality.score(table, quality.train(table, labels)).collect()}
     assert len(got) == 302 and all(0 <= s <= 1 for s in got.values())
     assert sum((got[i] >= 0.3) == (i % 2 == 0) for i in range(300)) >= 295
-    assert got[300] == got[301] and abs(got[300] - 0.5) < 0.5
+    assert got[300] == got[301] > 0.5  # the shortest labelled texts vote on an empty one; here they have label 1
     assert {x.score for x in quality.score(table, quality.train(table, labels.limit(0))).collect()} == {0.5}
 
 
