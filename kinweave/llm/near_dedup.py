@@ -10,7 +10,8 @@ band, every class is first held against one pivot, the class that shares most bu
 components are sifted around a core, the items that most of the bucket's classes have. With D(x) as what x and the core differ
 in, x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| items. So slack(x) = (100 - percent) |x| - (100 + percent) |D(x)| says all:
 two classes whose slacks sum to 0 or more are linked, hence each of them with the class of the largest slack, an edge for each class; other classes
-can only be linked if D(x) and D(y) share enough items, hence one of their first ones, own items before those of the core (a prefix filter). Classes
+can only be linked if D(x) and D(y) share enough items, hence one of their first ones (a prefix filter; items that are rare in the bucket come first, by a
+sample of its sets, those of the core last). Classes
 that share such an item are the next, smaller buckets; small ones are compared pair by pair, on full sets, large ones sifted again around a core of their own.
 Nothing is lost within a bucket whatever the core is, and no partner is capped. A bucket of near copies or of texts with a common passage thus
 costs about its size, whether or not its classes reach the threshold among each other.
@@ -187,11 +188,15 @@ def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = sets.select(F.col("id").alias("u"), "items")
     drawn = members.join(sizes, "g").where(draw < F.lit(float(CORE_SETS)) / F.col("size")).join(own, "u")
     cores = drawn.groupBy("g").agg(F.sort_array(F.flatten(F.collect_list("items"))).alias("all"), (F.floor(F.count("*") / 2) + 1).cast("int").alias("most"))
-    held = F.filter("all", lambda x, i: (F.get("all", i + F.col("most") - 1) == x) & ~F.coalesce(F.get("all", i - 1) == x, F.lit(False)))
-    cores = stored(cores.select("g", held.alias("core")))
-    both = members.join(cores, "g", "left").join(own, "u").withColumn("core", F.coalesce("core", F.array().cast("array<long>")))
-    # a class's own items come first: few classes have them, while many lack the same items of the core
-    delta = F.concat(F.sort_array(F.array_except("items", "core")), F.sort_array(F.array_except("core", "items")))
+    held = lambda n: F.filter("all", lambda x, i: (F.get("all", i + n - 1) == x) & ~F.coalesce(F.get("all", i - 1) == x, F.lit(False)))
+    cores = cores.select("g", held(F.col("most")).alias("core"), held(F.lit(2)).alias("known"))
+    cores = stored(cores.select("g", "core", F.array_except("known", "core").alias("known")))
+    # the sets travel to the cores, which are sent once for each g
+    both = members.join(own, "u").join(cores, "g", "left")
+    both = both.withColumns({c: F.coalesce(c, F.array().cast("array<long>")) for c in ("core", "known")})
+    # rare items come first, so that few classes meet on them: own ones that the drawn sets don't repeat, then those they do, then what the core has
+    extra = F.array_except("items", "core")
+    delta = F.concat(F.sort_array(F.array_except(extra, "known")), F.sort_array(F.array_intersect(extra, "known")), F.sort_array(F.array_except("core", "items")))
     both = both.select("g", "u", F.size("items").cast("long").alias("n"), delta.alias("delta"))
     return both.select("g", "u", ((100 - percent) * F.col("n") - (100 + percent) * F.size("delta")).alias("slack"), "delta")
 
@@ -219,9 +224,9 @@ def sifted(members: DataFrame, sets: DataFrame, edges: DataFrame, percent: int)
     for _ in range(ROUNDS):
         if not members.limit(1).count():
             return edges
-        diff = stored(differences(members, sets, percent))
-        top = stored(diff.groupBy("g").agg(F.max(F.struct("slack", "u")).alias("t")).select("g", F.col("t.slack").alias("best"), F.col("t.u").alias("top")))
-        diff = diff.join(top, "g")
+        each = stored(differences(members, sets, percent))
+        top = stored(each.groupBy("g").agg(F.max(F.struct("slack", "u")).alias("t")).select("g", F.col("t.slack").alias("best"), F.col("t.u").alias("top")))
+        diff = each.join(top, "g")
         edges = stored(edges.unionByName(diff.where("u != top and slack + best >= 0").select("u", F.col("top").alias("v")).distinct()))
         loose = F.col("slack") + F.col("best") < 0
         # The fewest items of delta that two linked classes share follows from the sum of their slacks. The class with the larger slack
@@ -232,13 +237,15 @@ def sifted(members: DataFrame, sets: DataFrame, edges: DataFrame, percent: int)
         diff = diff.select("g", "u", "slack", loose.alias("second"), (F.size("delta") - first).alias("last"), F.slice("delta", 1, F.greatest(F.size("delta") + 1 - F.when(loose, second).otherwise(first), F.lit(0)).cast("int")).alias("prefix"))
         cells = diff.select("g", "u", "slack", "second", "last", F.posexplode("prefix").alias("at", "item"))
         cells = cells.select("u", "slack", "second", (F.col("at") <= F.col("last")).alias("first"), F.xxhash64("g", "item").alias("g"))
-        cells = stored(labelled(cells, components(edges)))
-        open_ = cells.groupBy("g").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("b"), F.max("first").alias("f"), F.max("second").alias("s")).where("a != b and f and s")
+        split = stored(labelled(cells, components(edges)))
+        forget(each, top)
+        open_ = split.groupBy("g").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("b"), F.max("first").alias("f"), F.max("second").alias("s")).where("a != b and f and s")
         open_ = stored(open_.select("g", "size"))
-        cells = cells.join(open_, "g")
+        cells = split.join(open_, "g")
         found = confirmed(all_pairs(cells.where(F.col("size") <= SMALL_CELL)), sets, percent)
         edges = stored(edges.unionByName(found))
         members = stored(cells.where(F.col("size") > SMALL_CELL).select("g", "u").distinct())
+        forget(split, open_)
     left = labelled(members, components(edges)).select("g", "u", "label", F.lit(0).alias("slack"), F.lit(True).alias("first"), F.lit(True).alias("second"))
     return stored(edges.unionByName(confirmed(all_pairs(left), sets, percent)))
 
