@@ -12,7 +12,8 @@ in, x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| items. So slack(x) = (10
 two classes whose slacks sum to 0 or more are linked, hence each of them with the class of the largest slack, an edge for each class; other classes
 can only be linked if D(x) and D(y) share enough items, hence one of their first ones (a prefix filter; items that are rare in the bucket come first, by a
 sample of its sets, those of the core last). Classes
-that share such an item are the next, smaller buckets; small ones are compared pair by pair, on full sets, large ones sifted again around a core of their own.
+that share such an item are the next, smaller buckets; small ones are compared pair by pair, on full sets, large ones, once for
+each set of classes, sifted again around a core of their own.
 Nothing is lost within a bucket whatever the core is, and no partner is capped. A bucket of near copies or of texts with a common passage thus
 costs about its size, whether or not its classes reach the threshold among each other.
 
@@ -239,12 +240,14 @@ def sifted(members: DataFrame, sets: DataFrame, edges: DataFrame, percent: int)
         cells = cells.select("u", "slack", "second", (F.col("at") <= F.col("last")).alias("first"), F.xxhash64("g", "item").alias("g"))
         split = stored(labelled(cells, components(edges)))
         forget(each, top)
-        open_ = split.groupBy("g").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("b"), F.max("first").alias("f"), F.max("second").alias("s")).where("a != b and f and s")
-        open_ = stored(open_.select("g", "size"))
-        cells = split.join(open_, "g")
-        found = confirmed(all_pairs(cells.where(F.col("size") <= SMALL_CELL)), sets, percent)
-        edges = stored(edges.unionByName(found))
-        members = stored(cells.where(F.col("size") > SMALL_CELL).select("g", "u").distinct())
+        mark = lambda name: F.bit_xor(F.xxhash64(F.lit(name), "u")).alias(name)
+        open_ = split.groupBy("g").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("b"), F.max("first").alias("f"), F.max("second").alias("s"), mark("x"), mark("y"))
+        open_ = stored(open_.where("a != b and f and s").select("g", "size", "x", "y"))
+        small = split.join(open_.where(F.col("size") <= SMALL_CELL).select("g"), "g")
+        edges = stored(edges.unionByName(confirmed(all_pairs(small), sets, percent)))
+        # items that the same classes have, as those of a common passage, make equal cells: one of them stands for all
+        large = open_.where(F.col("size") > SMALL_CELL).groupBy("size", "x", "y").agg(F.min("g").alias("g"))
+        members = stored(split.join(large.select("g"), "g").select("g", "u"))
         forget(split, open_)
     left = labelled(members, components(edges)).select("g", "u", "label", F.lit(0).alias("slack"), F.lit(True).alias("first"), F.lit(True).alias("second"))
     return stored(edges.unionByName(confirmed(all_pairs(left), sets, percent)))
