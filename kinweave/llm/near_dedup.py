@@ -14,8 +14,8 @@ can only be linked if D(x) and D(y) share enough items, hence one of their first
 sample of its sets, those of the core last). Classes
 that share such an item are the next, smaller buckets; small ones are compared pair by pair, on full sets, large ones, once for
 each set of classes, sifted again around a core of their own.
-Nothing is lost within a bucket whatever the core is, and no partner is capped. A bucket of near copies or of texts with a common passage thus
-costs about its size, whether or not its classes reach the threshold among each other.
+Nothing is lost within a bucket whatever the core is, and no partner is capped. A bucket of near copies thus
+costs about its size; one of large families whose classes stay below the threshold costs more than that in each round, since a class goes on in several cells.
 
 Defined results: null or blank texts have an empty set, link with nothing and are kept; rows with
 a null id link with nothing and have a null component; rows that share an id are one document, so what one of them links with is
