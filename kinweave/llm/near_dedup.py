@@ -6,14 +6,13 @@ j, a value in [j, j+1) for its j-th place; a document stops at the first level a
 filled. Bands of the signature propose candidates, full sets confirm them, union-find groups them.
 
 Equal sets are one class from the start, so that copies cost a sum, not pairs. Inside a bucket of a
-band, every class is first held against one pivot, the class that shares most buckets. Buckets with classes that are then still in different
-components are sifted around a core, the items that most of the bucket's classes have. With D(x) as what x and the core differ
-in, x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| items. So slack(x) = (100 - percent) |x| - (100 + percent) |D(x)| says all:
+band, every class is first held against one pivot, the class that shares most buckets. Where classes of a pivot are then still in different
+components, a few of them are compared pair by pair, on full sets; more are sifted around a core, the items that most of them have. With D(x) as what x and
+the core differ in, x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| items. So slack(x) = (100 - percent) |x| - (100 + percent) |D(x)| says all:
 two classes whose slacks sum to 0 or more are linked, hence each of them with the class of the largest slack, an edge for each class; other classes
 can only be linked if D(x) and D(y) share enough items, hence one of their first ones (a prefix filter; items that are rare in the bucket come first, by a
-sample of its sets, those of the core last). Classes
-that share such an item are the next, smaller buckets; small ones are compared pair by pair, on full sets, large ones, once for
-each set of classes, sifted again around a core of their own.
+sample of its sets, those of the core last). Classes that share such an item are a cell. In small cells, pairs are compared for which as many items as they need can
+still follow the shared one; large cells, one of those with the same classes, are sifted again around a core of their own.
 Nothing is lost within a bucket whatever the core is, and no partner is capped. A bucket of near copies thus
 costs about its size; one of large families whose classes stay below the threshold costs more than that in each round, since a class goes on in several cells.
 
@@ -39,8 +38,8 @@ SHINGLE_WORDS = 5
 #: 16 bands of 4 places: of pairs with similarity 0.85, fewer than one in 100,000 share no band.
 PLACES, BANDS = 64, 16
 PERCENT = 85
-#: Sets that a core is made of, about; cells of so many classes or fewer are compared pair by pair; rounds of sifting.
-CORE_SETS, SMALL_CELL, ROUNDS = 32, 8, 4
+#: Sets that a core is made of, about; buckets and cells of so many classes or fewer are compared pair by pair; rounds of sifting.
+CORE_SETS, SMALL_GROUP, SMALL_CELL, ROUNDS = 32, 8, 64, 4
 BLOCK_SHINGLES = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -212,16 +211,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(similar(F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"), percent)).select("u", "v")
 
 
-def all_pairs(cells: DataFrame) -> DataFrame:
-    """Distinct pairs (u, v) of members (g, u, label, slack, first, second) with different labels: one that may be first and one, of no larger slack, that may be second."""
-    left, right = (cells.where(role).select("g", *[F.col(c).alias(f"{c}{i}") for c in ("u", "label", "slack")]) for i, role in ((1, "first"), (2, "second")))
+def all_pairs(cells: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (u, v) of members (g, u, label, slack, rest, first, second) with different labels: one that may be first and one, of no larger slack, that may be second.
+
+    Two classes that are linked share, from their first common item on, as many items as their slacks lack; after the cell's item only the shorter rest can follow.
+    """
+    left, right = (cells.where(role).select("g", *[F.col(c).alias(f"{c}{i}") for c in ("u", "label", "slack", "rest")]) for i, role in ((1, "first"), (2, "second")))
     ordered = (F.col("slack1") > F.col("slack2")) | ((F.col("slack1") == F.col("slack2")) & (F.col("u1") > F.col("u2")))
-    apart = left.join(right, "g").where((F.col("label1") != F.col("label2")) & ordered)
+    enough = F.col("slack1") + F.col("slack2") + 2 * (100 + percent) * (1 + F.least("rest1", "rest2")) >= 0
+    apart = left.join(right, "g").where((F.col("label1") != F.col("label2")) & ordered & enough)
     return apart.select(F.greatest("u1", "u2").alias("u"), F.least("u1", "u2").alias("v")).distinct()
 
 
+def plain(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """Members (g, u) for all_pairs, of which nothing is known but their labels."""
+    return labelled(members, components(edges)).select("g", "u", "label", F.lit(0).alias("slack"), F.lit(0).alias("rest"), F.lit(True).alias("first"), F.lit(True).alias("second"))
+
+
 def sifted(members: DataFrame, sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
-    """edges, and what else links the members (g, u) of the same group."""
+    """edges, and what else links the members (g, u) of the same group; all of them have been held against the class g."""
+    sizes = stored(members.groupBy("g").agg(F.count("*").alias("size")))
+    few = members.where("u != g").join(sizes.where(F.col("size") <= SMALL_GROUP).select("g"), "g")
+    edges = stored(edges.unionByName(confirmed(all_pairs(plain(few, edges), percent), sets, percent)))
+    members = stored(members.join(sizes.where(F.col("size") > SMALL_GROUP).select("g"), "g"))
+    forget(sizes)
     for _ in range(ROUNDS):
         if not members.limit(1).count():
             return edges
@@ -235,22 +248,22 @@ def sifted(members: DataFrame, sets: DataFrame, edges: DataFrame, percent: int)
         fewest = lambda total: F.ceil(-total / (2 * (100 + percent)))
         first = fewest(F.when(loose, 2 * F.col("slack")).otherwise(F.col("slack") - F.col("best") - 1))
         second = fewest(F.col("slack") + F.col("best"))
-        diff = diff.select("g", "u", "slack", loose.alias("second"), (F.size("delta") - first).alias("last"), F.slice("delta", 1, F.greatest(F.size("delta") + 1 - F.when(loose, second).otherwise(first), F.lit(0)).cast("int")).alias("prefix"))
-        cells = diff.select("g", "u", "slack", "second", "last", F.posexplode("prefix").alias("at", "item"))
-        cells = cells.select("u", "slack", "second", (F.col("at") <= F.col("last")).alias("first"), F.xxhash64("g", "item").alias("g"))
-        split = stored(labelled(cells, components(edges)))
+        size = F.size("delta")
+        diff = diff.select("g", "u", "slack", loose.alias("second"), size.alias("size"), (size - first).alias("last"), F.slice("delta", 1, F.greatest(size + 1 - F.when(loose, second).otherwise(first), F.lit(0)).cast("int")).alias("prefix"))
+        # labels come to the classes, before each of them becomes a row for every item of its prefix
+        cells = labelled(diff, components(edges)).select("g", "u", "label", "slack", "second", "size", "last", F.posexplode("prefix").alias("at", "item"))
+        split = stored(cells.select("u", "label", "slack", "second", (F.col("size") - F.col("at") - 1).alias("rest"), (F.col("at") <= F.col("last")).alias("first"), F.xxhash64("g", "item").alias("g")))
         forget(each, top)
         mark = lambda name: F.bit_xor(F.xxhash64(F.lit(name), "u")).alias(name)
         open_ = split.groupBy("g").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("b"), F.max("first").alias("f"), F.max("second").alias("s"), mark("x"), mark("y"))
         open_ = stored(open_.where("a != b and f and s").select("g", "size", "x", "y"))
         small = split.join(open_.where(F.col("size") <= SMALL_CELL).select("g"), "g")
-        edges = stored(edges.unionByName(confirmed(all_pairs(small), sets, percent)))
+        edges = stored(edges.unionByName(confirmed(all_pairs(small, percent), sets, percent)))
         # items that the same classes have, as those of a common passage, make equal cells: one of them stands for all
         large = open_.where(F.col("size") > SMALL_CELL).groupBy("size", "x", "y").agg(F.min("g").alias("g"))
         members = stored(split.join(large.select("g"), "g").select("g", "u"))
         forget(split, open_)
-    left = labelled(members, components(edges)).select("g", "u", "label", F.lit(0).alias("slack"), F.lit(True).alias("first"), F.lit(True).alias("second"))
-    return stored(edges.unionByName(confirmed(all_pairs(left), sets, percent)))
+    return stored(edges.unionByName(confirmed(all_pairs(plain(members, edges), percent), sets, percent)))
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
