@@ -7,7 +7,8 @@ filled. Bands of the signature propose candidates, full sets confirm them, union
 
 Equal sets are one class from the start, so that copies cost a sum, not pairs. Inside a bucket of a
 band, every class is first held against one pivot, the class that shares most buckets. Where classes of a pivot are then still in different
-components, a few of them are compared pair by pair, on full sets; more are sifted around a core, the items that most of them have. With D(x) as what x and
+components, a task gets all sets of the bucket and counts what each pair of them shares, where these sets are few and small enough for that by their counted size; of
+what is linked, it hands back one edge a class. Larger buckets are sifted around a core, the items that most of the classes have. With D(x) as what x and
 the core differ in, x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| items. So slack(x) = (100 - percent) |x| - (100 + percent) |D(x)| says all:
 two classes whose slacks sum to 0 or more are linked, hence each of them with the class of the largest slack, an edge for each class; other classes
 can only be linked if D(x) and D(y) share enough items, hence one of their first ones (a prefix filter; items that are rare in the bucket come first, by a
@@ -38,8 +39,10 @@ SHINGLE_WORDS = 5
 #: 16 bands of 4 places: of pairs with similarity 0.85, fewer than one in 100,000 share no band.
 PLACES, BANDS = 64, 16
 PERCENT = 85
-#: Sets that a core is made of, about; buckets and cells of so many classes or fewer are compared pair by pair; rounds of sifting.
-CORE_SETS, SMALL_GROUP, SMALL_CELL, ROUNDS = 32, 8, 64, 4
+#: Buckets up to so many classes and items, over all of their sets, are compared whole in one task, with so many items at once.
+HELD_CLASSES, HELD_ITEMS, HELD_BLOCK = 1_000, 1_000_000, 4_096
+#: Sets that a core is made of, about; cells of so many classes or fewer are compared pair by pair; rounds of sifting.
+CORE_SETS, SMALL_CELL, ROUNDS = 32, 64, 4
 BLOCK_SHINGLES = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -228,12 +231,58 @@ def plain(members: DataFrame, edges: DataFrame) -> DataFrame:
     return labelled(members, components(edges)).select("g", "u", "label", F.lit(0).alias("slack"), F.lit(0).alias("rest"), F.lit(True).alias("first"), F.lit(True).alias("second"))
 
 
+def linked_to_first(items: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set, the place of the first set that a chain of links leads to; every pair is compared by the number of items that it shares."""
+    n = np.array([len(s) for s in items])
+    values, at, times = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1  # an item of a single set is shared by no pair
+    row = np.repeat(np.arange(len(n)), n)
+    shared = times[at] > 1
+    row, column = row[shared], place[at[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(n), len(n)), np.float32)  # counts stay far below 2^24
+    for start in range(0, int((times > 1).sum()), HELD_BLOCK):
+        a, b = np.searchsorted(column, [start, start + HELD_BLOCK])
+        m = np.zeros((len(n), HELD_BLOCK), np.float32)
+        m[row[a:b], column[a:b] - start] = 1
+        both += m @ m.T
+    both = both.astype(np.int64)
+    linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+    first = np.full(len(n), -1)
+    for i in range(len(n)):
+        if first[i] < 0:
+            reached = np.zeros(len(n), bool)
+            reached[i] = True
+            while (more := reached | linked[reached].any(axis=0)).sum() > reached.sum():
+                reached = more
+            first[reached] = i
+    return first
+
+
+def compared_whole(members: DataFrame, percent: int) -> DataFrame:
+    """Edges (u, v) that join what is linked among the members (g, u, items) of the same group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        u = table.column("u").to_numpy()
+        order = np.argsort(u)
+        lists = table.column("items").combine_chunks()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        u, first = u[order], linked_to_first([flat[ends[i] : ends[i + 1]] for i in order], percent)
+        new = first != np.arange(len(u))
+        return pa.table({"u": u[new], "v": u[first[new]]})
+
+    return members.select("g", "u", "items").groupBy("g").applyInArrow(run, "u long, v long")
+
+
 def sifted(members: DataFrame, sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     """edges, and what else links the members (g, u) of the same group; all of them have been held against the class g."""
-    sizes = stored(members.groupBy("g").agg(F.count("*").alias("size")))
-    few = members.where("u != g").join(sizes.where(F.col("size") <= SMALL_GROUP).select("g"), "g")
-    edges = stored(edges.unionByName(confirmed(all_pairs(plain(few, edges), percent), sets, percent)))
-    members = stored(members.join(sizes.where(F.col("size") > SMALL_GROUP).select("g"), "g"))
+    own = sets.select(F.col("id").alias("u"), F.size("items").cast("long").alias("n"))
+    sizes = stored(members.join(own, "u").groupBy("g").agg(F.count("*").alias("size"), F.sum("n").alias("total")))
+    held = (F.col("size") <= HELD_CLASSES) & (F.col("total") <= HELD_ITEMS)
+    whole = members.join(sizes.where(held).select("g"), "g").join(sets.select(F.col("id").alias("u"), "items"), "u")
+    edges = stored(edges.unionByName(compared_whole(whole, percent)))
+    members = stored(members.join(sizes.where(~held).select("g"), "g"))
     forget(sizes)
     for _ in range(ROUNDS):
         if not members.limit(1).count():
